@@ -1,0 +1 @@
+"""Reserved.  The analyses built here are batch only: no input is a stream."""
