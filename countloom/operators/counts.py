@@ -17,6 +17,7 @@ from countloom.functions.missing import bool_text, is_integral, to_number
 from countloom.functions.text import joined_or, kept
 from countloom.operators.pairwise import gram, mirrored
 from countloom.operators.ranking import quantiles
+from countloom.session import reuse
 
 SAMPLE = ["dataset_id", "sample_id"]
 # Fixed value: scales a median absolute deviation to a standard deviation.
@@ -89,7 +90,7 @@ def flag_outliers(metrics: DataFrame, threshold: float, names: Sequence[str]) ->
 
 def sample_metrics_qc(counts: DataFrame, z: float = 3.0, min_count: int = 1) -> DataFrame:
     """Library-size and detected-gene flags only: pure aggregates, any number of samples."""
-    metrics = library_metrics(counts, min_count).withColumn("_log", F.log10(F.col("library_size") + 1))
+    metrics = reuse(library_metrics(counts, min_count).withColumn("_log", F.log10(F.col("library_size") + 1)))
     scored = robust_z(metrics, ["_log", "detected_genes"], ["dataset_id"])
     scored = scored.withColumnRenamed("_log_robust_z", "library_size_robust_z").drop("_log")
     return flag_outliers(scored, z, ["library_size", "detected_genes"])
@@ -98,15 +99,13 @@ def sample_metrics_qc(counts: DataFrame, z: float = 3.0, min_count: int = 1) ->
 def sample_qc(counts: DataFrame, samples: DataFrame, z: float = 3.0, min_count: int = 1, tiles: int = 1) -> DataFrame:
     """Sample metrics with robust z of size, detected genes and PCA distance."""
     metrics = library_metrics(counts, min_count).withColumn("_log", F.log10(F.col("library_size") + 1))
-    pca = sample_pca(counts, k=5, tiles=tiles)
-    parts = [f"PC{i}" for i in range(1, 6)]
-    middle = None
-    for name in parts:
-        one = quantiles(pca, name, ["dataset_id"], {f"_{name}": 0.5})
-        middle = one if middle is None else middle.join(one, "dataset_id")
-    distance = F.sqrt(sum((F.coalesce(F.col(p) - F.col(f"_{p}"), F.lit(0.0)) ** 2 for p in parts), F.lit(0.0)))
-    far = pca.join(middle, "dataset_id").select(*SAMPLE, distance.alias("pca_distance"))
-    scored = robust_z(metrics.join(far, SAMPLE), ["_log", "detected_genes", "pca_distance"], ["dataset_id"])
+    pca = reuse(sample_pca(counts, k=5, tiles=tiles))
+    axes = [f"PC{i}" for i in range(1, 6)]
+    scores = pca.unpivot(SAMPLE, axes, "axis", "score")
+    middle = quantiles(scores, "score", ["dataset_id", "axis"], {"middle": 0.5})
+    gap = F.col("score") - F.col("middle")
+    far = scores.join(middle, ["dataset_id", "axis"]).groupBy(*SAMPLE).agg(F.sqrt(F.sum(gap * gap)).alias("pca_distance"))
+    scored = robust_z(reuse(metrics.join(far, SAMPLE)), ["_log", "detected_genes", "pca_distance"], ["dataset_id"])
     scored = scored.withColumnRenamed("_log_robust_z", "library_size_robust_z").drop("_log")
     flagged = flag_outliers(scored, z, ["library_size", "detected_genes", "pca_distance"])
     about = [c for c in ("group", "batch", "subject_id") if c in samples.columns]
@@ -120,7 +119,7 @@ def sample_pca(counts: DataFrame, k: int = 5, tiles: int = 1, transform: str = "
     (samples squared, whatever the number of genes) is decomposed per dataset.
     """
     x = F.log2(F.col("count") + 1) if transform == "log2" else F.col("count").cast("double")
-    values = counts.select(*SAMPLE, "gene_id", x.alias("x"))
+    values = reuse(counts.select(*SAMPLE, "gene_id", x.alias("x")))
     sizes = values.select(*SAMPLE).distinct().groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
     gene = (
         values.groupBy("dataset_id", "gene_id")

@@ -116,7 +116,7 @@ def _emit(by: list[str], key: tuple, block: _Block) -> pd.DataFrame:
 
 def mirrored(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
     """Both (i, j) and (j, i), the diagonal once."""
-    flipped = pairs.where(F.col("col_i") != F.col("col_j")).withColumnsRenamed(
-        {"col_i": "col_j", "col_j": "col_i"}
+    flipped = pairs.where(F.col("col_i") != F.col("col_j")).select(
+        *by, F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"), "dot"
     )
     return pairs.unionByName(flipped)

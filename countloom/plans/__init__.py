@@ -6,7 +6,7 @@ from importlib import import_module
 
 from countloom.plans.registry import Registry
 
-GROUPS = ("meta",)
+GROUPS = ("bulk", "cell", "meta")
 
 
 def all_queries() -> Registry:

@@ -59,7 +59,7 @@ def compare(spark, con, build, oracle, sf_dir):
 
 
 def main() -> int:
-    from countloom.session import local_session
+    from countloom.session import local_session, release
 
     import __spark_entry__ as entry
 
@@ -78,6 +78,7 @@ def main() -> int:
             ok, detail, took, rows = compare(spark, con, queries[name], oracles.get(name), sf_dir)
         except Exception as error:  # report and go on with the next query
             ok, detail, took, rows = False, f"{type(error).__name__}: {str(error)[:700]}", 0.0, 0
+        release()
         failed += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name:42s} {took:6.2f}s {rows:8d} {detail}", flush=True)
     print(f"{len(wanted) - failed} of {len(wanted)} fine")
