@@ -86,6 +86,7 @@ def qc_thresholds(qc: DataFrame, cfg: dict) -> DataFrame:
     ``mad`` {enabled, min_cells, lower_n_mads, upper_n_mads, metrics}.
     """
     strategy, hard, mad = cfg["strategy"], cfg["hard"], cfg["mad"]
+    qc = reuse(qc.select("sample_id", *METRICS))
     long = qc.select(
         "sample_id", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in METRICS])).alias("_m")
     ).select("sample_id", "_m.metric", "_m.x")
@@ -214,7 +215,7 @@ def preprocess_qc(
     if doublets is not None:
         qc = qc.join(doublets, "cell_id", "left")
     qc = reuse(qc)
-    thresholds = qc_thresholds(qc, cfg)
+    thresholds = reuse(qc_thresholds(qc, cfg))
     judged = apply_qc(qc, thresholds, cfg.get("exclude_predicted", False) and doublets is not None)
     return {"cell_qc": judged, "thresholds": thresholds, "sample_summary": preprocess_summary(judged), "ambient_status": status}
 

@@ -119,7 +119,7 @@ def sample_pca(counts: DataFrame, k: int = 5, tiles: int = 1, transform: str = "
     (samples squared, whatever the number of genes) is decomposed per dataset.
     """
     x = F.log2(F.col("count") + 1) if transform == "log2" else F.col("count").cast("double")
-    values = reuse(counts.select(*SAMPLE, "gene_id", x.alias("x")))
+    values = counts.select(*SAMPLE, "gene_id", x.alias("x"))
     sizes = values.select(*SAMPLE).distinct().groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
     gene = (
         values.groupBy("dataset_id", "gene_id")
@@ -202,7 +202,7 @@ def sample_pairs(expression: DataFrame, value: str, metric: str = "distance", by
 
 def median_normalize(counts: DataFrame) -> DataFrame:
     """count / max(total, 1) x median total of the dataset."""
-    totals = library_metrics(counts).select(*SAMPLE, "library_size")
+    totals = reuse(library_metrics(counts).select(*SAMPLE, "library_size"))
     middle = quantiles(totals, "library_size", ["dataset_id"], {"median_total": 0.5})
     return (
         counts.join(totals.join(middle, "dataset_id"), SAMPLE)
@@ -229,7 +229,7 @@ def size_factors(counts: DataFrame) -> DataFrame:
         *SAMPLE, (F.log("count") - F.col("_mean_log")).alias("_ratio")
     )
     middle = quantiles(ratios, "_ratio", SAMPLE, {"_m": 0.5})
-    return middle.select(*SAMPLE, F.exp("_m").alias("size_factor"))
+    return reuse(middle.select(*SAMPLE, F.exp("_m").alias("size_factor")))
 
 
 def size_normalize(counts: DataFrame) -> DataFrame:

@@ -36,7 +36,6 @@ def pseudobulk(
     rows = rows.where("qc_retained") if "qc_retained" in rows.columns else rows
     unit = [*UNIT, *extra_strata]
     counts = cell_counts.join(rows.select("cell_id", *unit), "cell_id").groupBy(*unit, "gene_id").agg(F.sum("count").alias("count"))
-    counts = reuse(counts)
     sums = counts.groupBy(*unit).agg(F.sum("count").alias("total_UMI"), F.count_if(F.col("count") > 0).alias("detected_genes"))
     known = [c for c in COVARIATES if c in rows.columns and c not in unit]
     # Distinct values per unit are counted after a first collapse, so a hot unit is merged map-side.
@@ -117,7 +116,7 @@ def pseudobulk_test(
     counts: DataFrame, metadata: DataFrame, numerator: str, denominator: str, min_subjects: int = 2
 ) -> tuple[DataFrame, DataFrame]:
     """(effects per dataset, cell type and gene; skipped cell types with the reason)."""
-    good = eligible(metadata).where(F.col("group").isin(numerator, denominator))
+    good = eligible(reuse(metadata)).where(F.col("group").isin(numerator, denominator))
     keys = ["dataset_id", "cell_type"]
     sides = subjects_per_group(good, numerator, denominator, keys)
     enough = (F.col("numerator_subjects") >= min_subjects) & (F.col("denominator_subjects") >= min_subjects)

@@ -42,7 +42,7 @@ def cumulative(
     """
     by = list(by)
     measures = dict(measures or {"n": F.lit(1)})
-    values = reuse(
+    values = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias(value))
         .agg(*[F.sum(m).alias(name) for name, m in measures.items()])

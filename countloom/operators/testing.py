@@ -36,7 +36,7 @@ def two_group_test(
     by = list(by)
     about = samples.where(F.col("group").isin(numerator, denominator)).select(*SAMPLE, "group").distinct()
     chosen = counts.join(about, SAMPLE)
-    scaled = reuse(chosen if normalized else size_normalize(reuse(chosen)))
+    scaled = chosen if normalized else size_normalize(chosen)
     factor = F.col("count") / F.col("normalized")
     # Size of each side and its mean inverse factor, from the samples present.
     per_sample = scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_reused: list[DataFrame] = []
-
 
 def local_session(app: str = "countloom", cores: str = "*", memory: str = "8g") -> SparkSession:
     """A session for tests and the bench; clusters bring their own."""
@@ -24,6 +21,7 @@ def local_session(app: str = "countloom", cores: str = "*", memory: str = "8g")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,16 +43,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Keep a derived table that several passes read, so its inputs are scanned once.
+    """Write a reduced table that several later passes read, and cut its lineage.
 
-    Lazy, spills to disk, and rebuilt from its lineage when an executor is lost.
+    Used for per-gene, per-sample and per-cell tables only, never for raw counts.
+    It runs the job at once; the files live in the shared checkpoint folder, so a
+    lost executor costs a re-read, not a recomputation.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _reused.append(kept)
-    return kept
-
-
-def release() -> None:
-    """Drop everything ``reuse`` kept; call it when a query's result is written."""
-    while _reused:
-        _reused.pop().unpersist()
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
