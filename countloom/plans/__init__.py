@@ -6,7 +6,7 @@ from importlib import import_module
 
 from countloom.plans.registry import Registry
 
-GROUPS = ("bulk", "cell", "meta")
+GROUPS = ("bulk", "cell", "meta", "rule")
 
 
 def all_queries() -> Registry:
