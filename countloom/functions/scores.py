@@ -20,7 +20,8 @@ def p_score(p: str | Column) -> Column:
     """-log10(p)/10 held in [0, 1]; missing p scores 0."""
     value = finite(p)
     raw = -F.log10(F.greatest(value, F.lit(1e-300))) / 10.0
-    return F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)), F.lit(0.0))
+    # greatest and least skip nulls, so a missing p must be caught first.
+    return F.when(value.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)))
 
 
 def sign(value: str | Column) -> Column:

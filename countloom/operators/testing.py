@@ -133,7 +133,7 @@ def significant(effects: DataFrame, alpha: float = 0.05, abs_lfc: float = 1.0) -
 def volcano(effects: DataFrame, alpha: float = 0.05, abs_lfc: float = 1.0) -> DataFrame:
     called = F.coalesce((F.col("padj") < alpha) & (F.abs("log2FoldChange") >= abs_lfc), F.lit(False))
     return effects.withColumns(
-        {"significant": called, "minus_log10_padj": -F.log10(F.greatest(F.col("padj"), F.lit(SMALLEST)))}
+        {"significant": called, "minus_log10_padj": F.when(F.col("padj").isNotNull(), -F.log10(F.greatest(F.col("padj"), F.lit(SMALLEST))))}
     )
 
 
