@@ -77,17 +77,18 @@ def suggest_manifest(samples: DataFrame, runs: DataFrame, files: DataFrame | Non
         *_ids(or_na("gse_accession"), or_na("gsm_accession"), or_na("srx_accession"), or_na("srr_accession")), F.lit("SRA_RUN_WITHOUT_GEO_SAMPLE").alias("reason"),
         F.lit("Review how this run relates to a sample.").alias("suggested_action"))
     attributes = ("srx_accession", "srr_accession", "library_strategy", "library_source", "library_layout")
-    joined = samples.join(usable.select("gsm_accession", *attributes), "gsm_accession", "left").withColumns({a: or_na(a) for a in attributes})
-    per = usable.where(present("srr_accession")).groupBy("gsm_accession").agg(F.array_sort(F.collect_list("srr_accession")).alias("_runs"))
-    joined = joined.join(per, "gsm_accession", "left").withColumn("_runs", F.coalesce("_runs", F.array().cast("array<string>")))
-    bare = joined.where(F.size("_runs") == 0).dropDuplicates(["gsm_accession"]).select(
-        *_ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.lit("NA")), F.lit("GEO_SAMPLE_WITHOUT_MAPPED_SRR").alias("reason"),
-        F.lit("Confirm whether the sample has runs at all.").alias("suggested_action"))
+    # Texts are read once per sample, before its runs multiply the rows.
     found = characteristics("characteristics_ch1_raw")
     parts = F.filter(F.concat(F.array("title", "source_name"), F.transform(found, lambda c: c["raw"])), lambda s: ~is_missing(s))
-    rows = joined.withColumns({"_found": found, "_text": F.concat_ws(" | ", parts)})
+    read = samples.withColumns({"_found": found, "_text": F.concat_ws(" | ", parts)})
     terms = {n: match_terms("_text", rules[k]) for n, k in (("_case", "case_candidate_terms"), ("_control", "control_candidate_terms"), ("_technical", "technical_replicate_terms"), ("_cell", "scrna_terms"), ("_nucleus", "snrna_terms"))}
-    rows = rows.withColumns(terms)
+    read = read.withColumns(terms).drop("_text")
+    joined = read.join(usable.select("gsm_accession", *attributes), "gsm_accession", "left").withColumns({a: or_na(a) for a in attributes})
+    per = usable.where(present("srr_accession")).groupBy("gsm_accession").agg(F.array_sort(F.collect_list("srr_accession")).alias("_runs"))
+    rows = joined.join(per, "gsm_accession", "left").withColumn("_runs", F.coalesce("_runs", F.array().cast("array<string>")))
+    bare = rows.where(F.size("_runs") == 0).dropDuplicates(["gsm_accession"]).select(
+        *_ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.lit("NA")), F.lit("GEO_SAMPLE_WITHOUT_MAPPED_SRR").alias("reason"),
+        F.lit("Confirm whether the sample has runs at all.").alias("suggested_action"))
     some = lambda c: F.size(c) > 0
     group = F.when(some("_case") & some("_control"), F.lit("conflict")).when(some("_case"), F.lit("case_candidate")).when(some("_control"), F.lit("control_candidate")).otherwise(F.lit("NA"))
     kind = (

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from countloom.plans.registry import Registry
 
-GROUPS = ("bulk", "cell", "integration", "meta", "metadata", "rule")
+GROUPS = ("bulk", "cell", "integration", "meta", "metadata", "rule", "stats")
 
 
 def all_queries() -> Registry:
