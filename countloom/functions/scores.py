@@ -63,5 +63,12 @@ def complexity(genes: str | Column, counts: str | Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
+def significant_digits(value: Column, digits: int = 8) -> Column:
+    """Number text with so many significant digits and no trailing zeros."""
+    text = F.format_string(f"%.{digits}g", value)
+    bare = F.regexp_replace(text, r"(\.[0-9]*?)0+(e|$)", "$1$2")
+    return F.regexp_replace(bare, r"\.(e|$)", "$1")
+
+
 def interval_text(low: Column, high: Column) -> Column:
-    return F.concat_ws(";", F.format_string("%.8g", low), F.format_string("%.8g", high))
+    return F.concat_ws(";", significant_digits(low), significant_digits(high))

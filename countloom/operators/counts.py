@@ -225,8 +225,9 @@ def size_factors(counts: DataFrame) -> DataFrame:
         .where(F.col("_present") == F.col("_n"))
         .select("dataset_id", "gene_id", "_mean_log")
     )
-    ratios = positive.join(gene, ["dataset_id", "gene_id"]).select(
-        *SAMPLE, (F.log("count") - F.col("_mean_log")).alias("_ratio")
+    # Only genes without a zero are left, so this table is small beside the counts.
+    ratios = reuse(
+        positive.join(gene, ["dataset_id", "gene_id"]).select(*SAMPLE, (F.log("count") - F.col("_mean_log")).alias("_ratio"))
     )
     middle = quantiles(ratios, "_ratio", SAMPLE, {"_m": 0.5})
     return reuse(middle.select(*SAMPLE, F.exp("_m").alias("size_factor")))

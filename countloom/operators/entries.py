@@ -119,4 +119,4 @@ def pick_adapter(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """First enabled adapter by priority whose input kind matches."""
     on = registry.where(F.lower(F.col("enabled").cast("string")) == "true")
     best = on.groupBy("input_kind").agg(F.min_by("adapter", F.struct("priority", "adapter")).alias("adapter"))
-    return rows.join(F.broadcast(best), "input_kind", "left").withColumn("adapter", or_na("adapter"))
+    return rows.join(best, "input_kind", "left").withColumn("adapter", or_na("adapter"))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from countloom.functions.missing import bool_text, finite, or_na, to_number
+from countloom.functions.scores import interval_text
 from countloom.functions.special import SMALLEST, beta_cdf_int, chi2_sf, norm_isf, two_sided_p
 from countloom.operators.ranking import bh_adjust, normalized_rank
 from countloom.session import reuse
@@ -118,14 +119,16 @@ def pool(evidence: DataFrame, method: str, by: Sequence[str] = ("gene_id",), alp
     else:
         meta_p = F.col("_x")
     df = F.col("n_studies") - 1
+    low, high = (F.col("pooled_log2fc") + sign * 1.96 * F.col("pooled_se") for sign in (-1, 1))
     return table.select(
         *by,
         "gene_symbol",
         "n_studies",
         "pooled_log2fc",
         "pooled_se",
-        (F.col("pooled_log2fc") - 1.96 * F.col("pooled_se")).alias("ci_lower"),
-        (F.col("pooled_log2fc") + 1.96 * F.col("pooled_se")).alias("ci_upper"),
+        interval_text(low, high).alias("confidence_interval"),
+        low.alias("ci_lower"),
+        high.alias("ci_upper"),
         meta_p.alias("meta_pvalue"),
         "Q",
         F.when(df > 0, chi2_sf("Q", F.greatest(df, F.lit(1)))).otherwise(F.lit(1.0)).alias("Q_pvalue"),

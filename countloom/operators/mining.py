@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from countloom.functions.missing import col, is_missing, or_na, present
 from countloom.functions.text import distinct_matches, match_terms, url_file_name
+from countloom.operators.rules.issues import listed as listed_items
 from countloom.schemas import TABLES
 
 # Formal columns a suggestion never fills.
@@ -84,9 +85,10 @@ def suggest_manifest(samples: DataFrame, runs: DataFrame, files: DataFrame | Non
     terms = {n: match_terms("_text", rules[k]) for n, k in (("_case", "case_candidate_terms"), ("_control", "control_candidate_terms"), ("_technical", "technical_replicate_terms"), ("_cell", "scrna_terms"), ("_nucleus", "snrna_terms"))}
     read = read.withColumns(terms).drop("_text")
     joined = read.join(usable.select("gsm_accession", *attributes), "gsm_accession", "left").withColumns({a: or_na(a) for a in attributes})
-    per = usable.where(present("srr_accession")).groupBy("gsm_accession").agg(F.array_sort(F.collect_list("srr_accession")).alias("_runs"))
-    rows = joined.join(per, "gsm_accession", "left").withColumn("_runs", F.coalesce("_runs", F.array().cast("array<string>")))
-    bare = rows.where(F.size("_runs") == 0).dropDuplicates(["gsm_accession"]).select(
+    real = usable.where(present("srr_accession"))
+    per = real.groupBy("gsm_accession").agg(F.count(F.lit(1)).alias("_runs"))
+    rows = joined.join(per, "gsm_accession", "left").na.fill(0, ["_runs"])
+    bare = rows.where(F.col("_runs") == 0).dropDuplicates(["gsm_accession"]).select(
         *_ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.lit("NA")), F.lit("GEO_SAMPLE_WITHOUT_MAPPED_SRR").alias("reason"),
         F.lit("Confirm whether the sample has runs at all.").alias("suggested_action"))
     some = lambda c: F.size(c) > 0
@@ -148,8 +150,11 @@ def suggest_manifest(samples: DataFrame, runs: DataFrame, files: DataFrame | Non
         F.when(F.col("suggested_data_type") == "conflict", _conflict("CONFLICTING_DATA_TYPE_TERMS", "critical", F.concat("_cell", "_nucleus"))),
     ))
     ids = _ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.col("srr_accession"))
-    many = rows.where(F.size("_runs") > 1).dropDuplicates(["gsm_accession"]).select(
-        *_ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.col("_runs")[0]), _conflict("MULTIPLE_SRR_FOR_GSM", "warning", F.col("_runs")).alias("_c"))
+    # One row per sample; a sample with thousands of runs gets several, each with part of the list.
+    several = listed_items(real, ["gsm_accession"], "srr_accession").where(F.col("n_items") > 1)
+    first = rows.where(F.col("_runs") > 1).groupBy("gsm_accession").agg(F.min("gse_accession").alias("gse_accession"), F.min("srx_accession").alias("srx_accession"))
+    many = several.join(first, "gsm_accession").select(
+        *_ids(F.col("gse_accession"), F.col("gsm_accession"), F.col("srx_accession"), F.col("items")[0]), _conflict("MULTIPLE_SRR_FOR_GSM", "warning", F.col("items")).alias("_c"))
     conflicts = rows.select(*ids, F.explode(found_conflicts).alias("_c")).unionByName(many).select(
         "dataset_id", "gse_id", "gsm_id", "srx_id", "srr_id", "_c.conflict_type", "_c.severity", "_c.observed_values", F.lit("Decide by hand.").alias("suggested_action"))
     return manifest, conflicts, lost.unionByName(bare)

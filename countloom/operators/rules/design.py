@@ -14,6 +14,7 @@ from countloom.functions.text import looks_like_barcode
 from countloom.operators.pairwise import gram
 from countloom.operators.rules.issues import issue, listed, passed, union, when_empty
 from countloom.operators.rules.manifest import active
+from countloom.session import reuse
 
 CELL_SCOPES = ("scrna_pseudobulk", "scrna_meta", "cell_proportion")
 LEVELS = ("harmonized_level1", "harmonized_level2", "harmonized_level3")
@@ -57,6 +58,7 @@ def _sides(contrasts: DataFrame) -> DataFrame:
 def validate_contrasts(samples: DataFrame, contrasts: DataFrame, plan: DataFrame) -> DataFrame:
     """Groups, subjects, replicates and pairs of every enabled contrast."""
     analyses = contrasts.select("analysis_id").distinct()
+    samples = reuse(samples)
     rows = rows_for_analysis(samples, plan).join(analyses, "analysis_id", "left_semi")
     ids = {"analysis_id": "analysis_id", "dataset_id": "dataset_id", "sample_id": "sample_id", "subject_id": "subject_id"}
     on = enabled(contrasts)
@@ -97,6 +99,7 @@ def validate_contrasts(samples: DataFrame, contrasts: DataFrame, plan: DataFrame
               F.format_string("pair %s is not one sample of each group", "paired_group"), "Give one sample per group.", F.struct(F.col("paired_group").alias("pair_id")), **contrast),
         issue(pairs.where(F.col("_subjects") > 1), "error", "paired_design", "PAIR_SUBJECT_CONFLICT", F.format_string("pair %s has several subjects", "paired_group"), "Correct subject or pair.", **contrast),
     ])
+    found_issues = reuse(found_issues)
     failed = found_issues.where(F.col("contrast_id") != "NA").select("analysis_id", "contrast_id").distinct()
     good = differ.select("analysis_id", "contrast_id").distinct().join(failed, ["analysis_id", "contrast_id"], "left_anti")
     return union([
@@ -154,6 +157,7 @@ def design_crosstab(samples: DataFrame, plan: DataFrame) -> DataFrame:
 def validate_plan(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, dominance: float = 0.8, compatibility: Mapping[str, Mapping[str, str]] | None = None, allow_mixed_cells: bool = False) -> DataFrame:
     """Roles, strategies, estimability, confounding and merge groups of the plan."""
     compatibility = compatibility or {}
+    samples = reuse(samples)
     used = plan.where(is_true("include"))
     ids = {"analysis_id": "analysis_id", "dataset_id": "dataset_id"}
     rows = rows_for_analysis(samples, plan)
@@ -206,13 +210,14 @@ def validate_plan(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, dom
         for field, check, severity in (("species", "INCOMPATIBLE_SPECIES_MERGED", "critical"), ("reference_genome", "INCOMPATIBLE_REFERENCE_GENOMES", "error"), ("gene_id_space", "INCOMPATIBLE_GENE_ID_SPACES", "error")):
             seen = verified.withColumn("_v", F.try_element_at(facts[field], "dataset_id")).groupBy("analysis_id", "merge_group", "datasets").agg(F.array_sort(F.collect_set("_v")).alias("_vs"))
             parts.append(issue(seen.where((F.size("_vs") > 1) | F.array_contains("_vs", "unknown")), severity, "dataset_plan", check, F.format_string(f"merge group %s has no common {field}", "merge_group"), "Confirm the values.", F.struct(F.col("_vs").alias("values")), analysis_id="analysis_id", dataset_id="datasets"))
-    found = union(parts)
+    found = reuse(union(parts))
     clean = used.select("analysis_id").distinct().join(found.where(F.col("status") == "fail").select("analysis_id").distinct(), "analysis_id", "left_anti")
     return found.unionByName(passed(clean, "dataset_plan", "DATASET_PLAN_VALID", F.format_string("plan of %s is in order", "analysis_id"), analysis_id="analysis_id"))
 
 
 def validate_ontology(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, ontology: DataFrame, metrics: DataFrame | None = None, min_cells: int = 10, min_donors: int = 2) -> DataFrame:
     """Subjects, label mappings, and enough cells and donors per cell type."""
+    samples = reuse(samples)
     kind = F.lower(F.coalesce("data_type", F.lit("")))
     cells = kind.contains("scrna") | kind.contains("snrna") | kind.contains("single_cell")
     included = active(samples).where(cells)
@@ -249,7 +254,7 @@ def validate_ontology(samples: DataFrame, contrasts: DataFrame, plan: DataFrame,
     subjects = rows_for_analysis(samples, plan).where(cells & present("subject_id")).groupBy("analysis_id", "group").agg(F.count_distinct("subject_id").alias("_donors"))
     weak = _sides(on).join(subjects, ["analysis_id", "group"], "left").where(F.coalesce("_donors", F.lit(0)) < F.col("minimum"))
     parts.append(issue(weak, "error", "single_cell", "PSEUDOBULK_INSUFFICIENT_DONORS", F.format_string("group %s has too few donors", "group"), "Add donors.", analysis_id="analysis_id", contrast_id="contrast_id"))
-    found = union(parts)
+    found = reuse(union(parts))
     return found.unionByName(passed(when_empty(found), "celltype_ontology", "CELLTYPE_DESIGN_VALID", "labels, cells and donors are in order"))
 
 
@@ -263,6 +268,7 @@ def validate_design(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, m
     columns x columns products of each contrast reach one task.
     """
     columns = [*samples.columns, *([] if "dataset" in samples.columns else ["dataset"])]
+    samples = reuse(samples)
     rows_in = samples if "dataset" in samples.columns else samples.withColumn("dataset", F.col("dataset_id"))
     keys = ["analysis_id", "contrast_id"]
     on = enabled(contrasts)
@@ -270,7 +276,7 @@ def validate_design(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, m
     pick = F.array_compact(F.array(*[F.when(formula.rlike(rf"(?<![A-Za-z0-9_]){c}(?![A-Za-z0-9_])"), F.lit(c)) for c in columns]))
     about = on.select(*keys, formula.alias("formula"), pick.alias("vars"))
     chosen = contrast_rows(rows_in, on, plan).where(F.col("group").isin(F.col("numerator"), F.col("denominator")))
-    rows = chosen.select(*keys, F.concat_ws("|", "dataset_id", "sample_id").alias("row"), "_values").join(about, keys)
+    rows = reuse(chosen.select(*keys, F.concat_ws("|", "dataset_id", "sample_id").alias("row"), "_values").join(about, keys))
     sizes = rows.groupBy(*keys, "formula").agg(F.count(F.lit(1)).alias("n"))
     missing = is_missing("value")
     long = rows.select(*keys, "formula", "row", F.explode("vars").alias("variable"), "_values").select(*keys, "formula", "row", "variable", F.try_element_at("_values", "variable").alias("value"))
@@ -362,6 +368,7 @@ def joint_preflight(samples: DataFrame, plan: DataFrame, contrasts: DataFrame, c
         issue(used.join(rows.select("analysis_id", "dataset_id").distinct(), ["analysis_id", "dataset_id"], "left_anti"), "critical", "joint_model", "JOINT_SAMPLE_METADATA_MISSING", F.format_string("%s has no prepared samples", "dataset_id"), "Prepare it first.", **d),
         issue(tied, "critical", "joint_model", "DATASET_GROUP_COMPLETE_CONFOUNDING", "dataset and group cannot be told apart", "Do not fit a joint model.", analysis_id="analysis_id", contrast_id="contrast_id"),
     ])
+    found = reuse(found)
     stopped = found.where((F.col("severity") == "critical")).select("analysis_id").distinct()
     return found.unionByName(passed(analyses.join(stopped, "analysis_id", "left_anti"), "joint_model", "JOINT_MODEL_INPUTS_VALID", "all gates passed", **a))
 

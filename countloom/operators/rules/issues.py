@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from countloom.functions.missing import is_true, or_na
+from countloom.session import reuse
 
 # Columns of an issue row and the order of severities.
 ISSUE_FIELDS = (
@@ -101,7 +102,7 @@ def gate(issues: DataFrame, plan: DataFrame) -> DataFrame:
     datasets (``;`` list), else all.
     """
     analyses = plan.select("analysis_id").distinct()
-    failed = issues.where(F.col("status") == "fail")
+    failed = reuse(issues.where(F.col("status") == "fail").select("severity", "check_id", "analysis_id", "dataset_id"))
     critical = failed.agg(F.count_if(F.col("severity") == "critical").alias("critical_issues"))
     errors = failed.where(F.col("severity") == "error")
     own = errors.where(F.col("analysis_id") != "NA").select("analysis_id", "check_id")

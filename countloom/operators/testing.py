@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from countloom.functions.missing import bool_text
 from countloom.functions.special import SMALLEST, two_sided_p
-from countloom.operators.counts import SAMPLE, size_normalize
+from countloom.operators.counts import SAMPLE, size_factors, size_normalize
 from countloom.operators.ranking import bh_adjust, head_per_group, quantiles
 from countloom.session import reuse
 
@@ -36,10 +36,15 @@ def two_group_test(
     by = list(by)
     about = samples.where(F.col("group").isin(numerator, denominator)).select(*SAMPLE, "group").distinct()
     chosen = counts.join(about, SAMPLE)
-    scaled = chosen if normalized else size_normalize(chosen)
-    factor = F.col("count") / F.col("normalized")
     # Size of each side and its mean inverse factor, from the samples present.
-    per_sample = scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))
+    if normalized or by != ["dataset_id"]:
+        scaled = chosen if normalized else size_normalize(chosen)
+        factor = F.col("count") / F.col("normalized")
+        per_sample = scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))
+    else:
+        factors = size_factors(chosen)
+        scaled = chosen.join(factors, SAMPLE).withColumn("normalized", F.col("count") / F.col("size_factor"))
+        per_sample = about.join(factors, SAMPLE).withColumnRenamed("size_factor", "f")
     up, down = F.col("group") == numerator, F.col("group") == denominator
     sizes = per_sample.groupBy(*by).agg(
         F.count_if(up).alias("n1"), F.count_if(down).alias("n0"),
@@ -197,7 +202,7 @@ def adjust_batch(counts: DataFrame, samples: DataFrame) -> DataFrame:
     joined = counts.join(about, SAMPLE)
     batch = joined.groupBy("gene_id", "batch").agg(F.sum("count").alias("_sb"))
     whole = batch.groupBy("gene_id").agg(F.sum("_sb").alias("_s"))
-    scale = batch.join(whole, "gene_id").join(F.broadcast(sizes), "batch").crossJoin(F.broadcast(total)).select(  # one row
+    scale = batch.join(whole, "gene_id").join(sizes, "batch").crossJoin(F.broadcast(total)).select(  # one row
         "gene_id", "batch",
         F.try_divide(F.col("_s") / F.col("_n"), F.col("_sb") / F.col("_nb")).alias("_scale"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countloom.operators import meta as M
+from countloom.operators import studies as S
 from countloom.operators.ranking import bh_adjust, normalized_rank
 from countloom.plans.registry import Registry, rounded
 from countloom.plans.views import Views, isf_sql, sql, two_sided_sql
@@ -201,3 +202,56 @@ queries.add(
              WHEN h.meta_pvalue >= 0.2 THEN 'not_significant_in_validation' ELSE 'replicated' END AS replication_status
         FROM (SELECT *, meta_padj < 0.9 AND abs(pooled_log2fc) >= 0.2 AS sel FROM d_t) d LEFT JOIN h_t h USING (gene_id)""", **_validation_ctes()),
 )
+
+
+# Pseudobulk evidence: the line status stands in for the cell type.
+def _cell_evidence(v: Views) -> DataFrame:
+    return v.evidence(("l_linestatus",)).withColumnRenamed("l_linestatus", "cell_type")
+
+
+CELL = ["cell_type", "gene_id", "gene_symbol", "pooled_log2fc", "pooled_se", "meta_pvalue", "meta_padj", "I2", "direction_consistency", "n_datasets", "n_subjects"]
+CELL_NUMBERS = ["pooled_log2fc", "pooled_se", "meta_pvalue", "meta_padj", "I2"]
+queries.add(
+    "pseudobulk_meta", lambda v: rounded(M.pseudobulk_meta(_cell_evidence(v), "random_effects", 0.05, 2).select(*CELL), *CELL_NUMBERS),
+    sql("cell_evidence", "SELECT " + _select(CELL, CELL_NUMBERS).replace("n_datasets", "n_studies AS n_datasets") + " FROM (" + bh_sql("(SELECT * FROM pooled WHERE n_studies >= 2)", "meta_pvalue", "cell_type", "meta_padj") + ")", **pool_ctes("cell_evidence", "cell_type, gene_id", "random_effects")),
+)
+
+
+def _cell_validation_ctes() -> dict[str, str]:
+    held, keys = "('ASIA', 'EUROPE')", "cell_type, gene_id"
+    d = {f"d_{k}": _prefixed(q, "d_") for k, q in pool_ctes("disc", keys, "random_effects").items()}
+    h = {f"h_{k}": _prefixed(q, "h_") for k, q in pool_ctes("held", keys, "random_effects").items()}
+    return {
+        "disc": f"SELECT * FROM cell_evidence WHERE dataset_id NOT IN {held}", "held": f"SELECT * FROM cell_evidence WHERE dataset_id IN {held}",
+        **d, **h, "d_t": bh_sql("d_pooled", "meta_pvalue", "cell_type", "meta_padj"), "h_t": bh_sql("h_pooled", "meta_pvalue", "cell_type", "meta_padj"),
+    }
+
+
+def _cell_split(v: Views) -> tuple[DataFrame, DataFrame]:
+    e = _cell_evidence(v)
+    return e.where(~F.col("dataset_id").isin(*HELD_OUT)), e.where(F.col("dataset_id").isin(*HELD_OUT))
+
+
+queries.add(
+    "pseudobulk_validation",
+    lambda v: rounded(M.pseudobulk_validation(*_cell_split(v), "random_effects", 0.05, 1, 0.3).drop("discovery_dataset_effects", "validation_dataset_effects"), "discovery_log2fc", "discovery_padj", "validation_log2fc", "validation_pvalue"),
+    sql("cell_evidence", """SELECT cell_type, gene_id, round(d.pooled_log2fc, 6) AS discovery_log2fc, round(d.meta_padj, 6) AS discovery_padj, round(h.pooled_log2fc, 6) AS validation_log2fc, round(h.meta_pvalue, 6) AS validation_pvalue,
+        CASE WHEN h.gene_id IS NULL THEN 'NA' WHEN (d.pooled_log2fc >= 0) = (h.pooled_log2fc >= 0) THEN 'true' ELSE 'false' END AS direction_consistency,
+        CASE WHEN (d.pooled_log2fc >= 0) = (h.pooled_log2fc >= 0) AND h.meta_pvalue < 0.3 THEN 'replicated' ELSE 'not_replicated' END AS replication_status FROM d_t d LEFT JOIN h_t h USING (cell_type, gene_id)""", **_cell_validation_ctes()),
+)
+
+
+def _study_tables(v: Views):
+    """One planned analysis over all regions, every region compatible."""
+    plan = v.t("region").select(F.lit("A").alias("analysis_id"), F.col("r_name").alias("dataset_id"), F.lit("true").alias("include"), F.lit("discovery").alias("role"), F.lit("per_dataset_meta").alias("analysis_strategy"))
+    contrasts = plan.select("analysis_id", F.lit("C").alias("contrast_id"), F.lit("bulk").alias("data_scope"), F.lit("R").alias("numerator"), F.lit("A").alias("denominator"), F.lit("true").alias("enabled")).distinct()
+    table = plan.select("analysis_id", "dataset_id", F.lit("C").alias("contrast_id"), F.lit("true").alias("compatible_for_meta_analysis"), F.lit("none").alias("incompatibility_reason"))
+    return plan, contrasts, table
+
+
+queries.add(
+    "per_dataset_meta",
+    lambda v: S.per_dataset_meta(v.evidence().withColumn("contrast_id", F.lit("C")), *_study_tables(v), "A", "random_effects", 0.9, 2, 0.2)["results_manifest"],
+    sql("evidence", "SELECT 'A' AS analysis_id, 'C' AS contrast_id, 'per_dataset_meta' AS analysis_strategy, 'random_effects' AS meta_model, (SELECT string_agg(DISTINCT dataset_id, ';' ORDER BY dataset_id) FROM evidence) AS dataset_ids, count(*) AS gene_count, count(*) FILTER (WHERE meta_padj < 0.9 AND abs(pooled_log2fc) >= 0.2) AS significant_gene_count FROM ("
+        + bh_sql("(SELECT * FROM pooled WHERE n_studies >= 2)", "meta_pvalue", "", "meta_padj") + ")", **pool_ctes("evidence", "gene_id", "random_effects")),
+)

@@ -276,3 +276,30 @@ queries.add("split_identifiers", lambda v: reviewed(v, "manifest").select("line"
 queries.add("p_scores", lambda v: rounded(v.t("lineitem").select("l_orderkey", "l_linenumber", S.p_score(F.when(F.col("l_discount") > 0, F.col("l_discount"))).alias("score"), S.direction(F.col("l_tax") - 0.04, F.col("l_discount") - 0.05).alias("direction"), S.evidence_level(F.col("l_discount") * 10).alias("level")), "score"),
             "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0 THEN round(least(1.0, greatest(0.0, -log10(l_discount) / 10)), 6) ELSE 0.0 END AS score, CASE WHEN l_tax - 0.04::double = 0 OR l_discount - 0.05::double = 0 THEN 'not_comparable' WHEN sign(l_tax - 0.04::double) = sign(l_discount - 0.05::double) THEN 'same' ELSE 'opposite' END AS direction, CASE WHEN l_discount * 10 >= 0.75 THEN 'high' WHEN l_discount * 10 >= 0.5 THEN 'moderate' WHEN l_discount * 10 >= 0.25 THEN 'low' ELSE 'limited' END AS level FROM lineitem")
 queries.add("url_parts", lambda v: v.t("pages").select("page_id", X.url_scheme("url").alias("scheme"), F.coalesce(X.url_file_name("url"), F.lit("")).alias("file_name")), f"SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract({FNAME}, '([^/]*)$', 1) AS file_name FROM pages")
+
+# --- further provenance ------------------------------------------------------------
+
+
+def hashed(v: Views):
+    return reviewed(v, "files").distinct().withColumns({"sha256": F.sha2("path", 256), "size_bytes": F.length("path")})
+
+
+queries.add(
+    "download_verification",
+    lambda v: J.verify_files(reviewed(v, "manifest").where("fastq_r1 <> 'NA'").select("line", F.col("fastq_r1").alias("path"), F.when(F.col("line") % 4 == 0, F.lit("other")).otherwise(F.sha2("fastq_r1", 256)).alias("sha256")), hashed(v).withColumn("integrity", F.when(F.length("path") % 2 == 0, F.lit("fail")).otherwise(F.lit("pass")))).select("line", "verification_status"),
+    sql("", "SELECT line, CASE WHEN fastq_r1 NOT IN (SELECT path FROM files) THEN 'missing_file' WHEN line % 4 = 0 THEN 'checksum_mismatch' WHEN length(fastq_r1) % 2 = 0 THEN 'fastq_integrity_failed' ELSE 'verified' END AS verification_status FROM manifest WHERE fastq_r1 <> 'NA'", manifest=TEXT["manifest"], files=TEXT["files"]),
+)
+queries.add(
+    "reference_table", lambda v: A.reference_table(v.t("region").select(F.concat(F.lit("f"), "r_regionkey").alias("field"), F.when(F.col("r_regionkey") < 3, F.concat(F.lit("data/"), "r_name", F.lit(".tsv"))).otherwise(F.lit("nowhere")).alias("value")), hashed(v)),
+    sql("", "SELECT 'f' || r_regionkey AS field, CASE WHEN r_regionkey < 3 THEN 'data/' || r_name || '.tsv' ELSE 'nowhere' END AS value, CASE WHEN r_regionkey < 3 THEN sha256('data/' || r_name || '.tsv') ELSE 'NA' END AS sha256, r_regionkey < 3 AS exists FROM region"),
+)
+queries.add(
+    "reproducibility_manifest", lambda v: A.reproducibility_manifest(hashed(v), ["data/ASIA.tsv", "data/AFRICA.tsv"]).select("artifact", "sha256"),
+    sql("", "SELECT r_name || '.tsv' AS artifact, sha256('data/' || r_name || '.tsv') AS sha256 FROM region WHERE r_name IN ('ASIA', 'AFRICA')"),
+)
+queries.add("snapshot_hashes", lambda v: A.snapshot_hashes(hashed(v), ["ASIA.tsv"]), "SELECT 'data/' || r_name || '.tsv' AS path, sha256('data/' || r_name || '.tsv') AS sha256 FROM region WHERE r_name = 'ASIA'")
+queries.add(
+    "bulk_provenance",
+    lambda v: A.bulk_provenance(v.samples("nation").withColumn("position", F.col("sample_id")), v.t("region").select(F.col("r_name").alias("dataset_id"), F.lit("matrix").alias("entry_branch")), {"species": "human"}, "star").select("dataset_id", F.get_json_object("payload", "$.sample_count").cast("bigint").alias("n"), F.get_json_object("payload", "$.sample_ids_in_analysis_order[0]").alias("first_sample"), F.get_json_object("payload", "$.quantification_method").alias("method")),
+    sql("samples_nation", "SELECT dataset_id, count(*) AS n, min(sample_id) AS first_sample, 'provided_matrix' AS method FROM samples_nation GROUP BY 1"),
+)

@@ -135,3 +135,14 @@ queries.add("quant_log_metrics",
             CASE WHEN x IS NULL THEN 'not_available' WHEN (o_orderkey + 1) % 2 = 0 THEN 'json_log' ELSE 'pipe_log' END AS metric_source FROM orders LEFT JOIN (SELECT o_orderkey AS k, o_custkey AS x FROM orders) ON k = o_orderkey + 1""")
 queries.add("merged_events", lambda v: T.merge_events([v.t("events").where(F.col("event_type") == t).select(F.col("ts").cast("string").alias("timestamp_utc"), "event_id") for t in ("view", "click")]).select("event_id"), "SELECT event_id FROM events WHERE event_type IN ('view', 'click')")
 queries.add("integer_tolerance", lambda v: v.t("orders").select("o_orderkey", is_integral("o_totalprice").alias("whole")), "SELECT o_orderkey, abs(o_totalprice - round_even(o_totalprice, 0)) <= 1e-8::double + 1e-5::double * abs(round_even(o_totalprice, 0)) AS whole FROM orders")
+
+
+def cell_table(v: Views):
+    path = scratch(v.spark, "cells")
+    joined = v.cell_counts().join(v.cells().withColumnRenamed("author_label", "cell_type"), "cell_id")
+    T.write_table(joined, ["cell_id", "dataset_id", "sample_id", "subject_id", "group", "cell_type", "gene_id", "count"], path)
+    return M.read_cell_counts(v.spark, path)
+
+
+queries.add("long_cell_table", lambda v: cell_table(v).groupBy("cell_type", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")),
+            sql("cells cell_counts", "SELECT author_label AS cell_type, \"group\", count(*) AS n, sum(count)::bigint AS total FROM cells JOIN cell_counts USING (cell_id) GROUP BY ALL"))

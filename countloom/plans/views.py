@@ -36,7 +36,7 @@ class Views:
 
     def lines(self) -> DataFrame:
         """Line items with the supplier's nation and region."""
-        cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"]
+        cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
         return self.t("lineitem").select(*cols).join(self.supply(), F.col("l_suppkey") == F.col("s_suppkey"))
 
     def counts(self, grain: str = "supplier") -> DataFrame:
@@ -242,6 +242,7 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         "SELECT l_orderkey AS cell_id, 'G' || l_partkey AS gene_id, sum(l_quantity::bigint)::bigint AS count FROM lineitem GROUP BY ALL",
     ),
     "evidence": (("lines",), _evidence_sql()),
+    "cell_evidence": (("lines",), "SELECT *, l_linestatus AS cell_type FROM (" + _evidence_sql("l_linestatus") + ")"),
 }
 
 

@@ -57,7 +57,7 @@ def read_mtx(spark: SparkSession, path: str, features: str, barcodes: str) -> Da
     lines = numbered_lines(spark, path).where(~F.col("text").startswith("%") & (F.trim("text") != ""))
     sizes = lines.groupBy("file").agg(F.min("line").alias("_size"))
     cells = F.split(F.trim("text"), r"\s+")
-    entries = lines.join(F.broadcast(sizes), "file").where(F.col("line") > F.col("_size")).select(cells[0].cast("bigint").alias("row"), cells[1].cast("bigint").alias("column"), to_number(cells[2]).alias("value"))
+    entries = lines.join(sizes, "file").where(F.col("line") > F.col("_size")).select(cells[0].cast("bigint").alias("row"), cells[1].cast("bigint").alias("column"), to_number(cells[2]).alias("value"))
     names = lambda p, place, name: numbered_lines(spark, p).select(F.col("line").alias(place), F.split("text", "\t")[0].alias(name))
     return entries.join(names(features, "row", "gene_id"), "row").join(names(barcodes, "column", "barcode"), "column").select("barcode", "gene_id", F.col("value").alias("count"))
 
@@ -96,7 +96,7 @@ def normalize_feature_counts(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(spark, path).where(~F.col("text").startswith("#"))
     head = lines.groupBy("file").agg(F.min("line").alias("_head"))
     cells = F.split("text", "\t")
-    rows = lines.join(F.broadcast(head), "file").where(F.col("line") > F.col("_head")).withColumn("_c", cells)
+    rows = lines.join(head, "file").where(F.col("line") > F.col("_head")).withColumn("_c", cells)
     value = F.element_at("_c", -1)
     bad = F.when(F.size("_c") < 7, F.lit("fewer_than_seven_columns")).when(~value.rlike("^[0-9]+$"), F.lit("not_a_count"))
     return rows.select(F.col("_c")[0].alias("gene_id"), F.when(bad.isNull(), value).try_cast("bigint").alias("count"), bad.alias("problem"))
