@@ -36,7 +36,7 @@ def check_order(expected: DataFrame, observed: DataFrame, by: str = "dataset_id"
     def placed(df: DataFrame, name: str) -> DataFrame:
         if isinstance(df.schema["position"].dataType, T.NumericType):
             # Numeric positions are ranked across tasks, however many samples a dataset has.
-            below = cumulative(df, "position", [by]).select(by, F.col("position").alias("_p"), F.col("n_below").alias(name))
+            below = cumulative(df, "position", [by]).select(by, F.col("position").alias("_p"), (F.col("n_below") + 1).alias(name))
             return df.select(by, "sample_id", F.col("position").cast("double").alias("_p")).join(below, [by, "_p"]).drop("_p")
         w = W.partitionBy(by).orderBy("position", "sample_id")
         return df.select(by, "sample_id", F.row_number().over(w).alias(name))
