@@ -25,11 +25,14 @@ def header_rules(lines: DataFrame, table: str) -> DataFrame:
     width, names = len(TABLES[table].columns), "\t".join(TABLES[table].columns)
     cells = F.split("text", "\t", -1)
     blank = F.regexp_replace("text", "\t", "") == ""
-    head, body = lines.where(F.col("line") == 1), lines.where(F.col("line") > 1)
+    head = lines.where(F.col("line") == 1).withColumn("_fits", F.regexp_replace("text", "^\\uFEFF", "") == names)
+    # Rows below a wrong header are not judged: their columns mean something else.
+    fits = head.agg(F.bool_and("_fits").alias("_ok")).where("_ok")
+    body = lines.where(F.col("line") > 1).crossJoin(F.broadcast(fits))  # one row or none
     none = lines.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
     return union([
         _row(none, "EMPTY_FILE", table, 1, "<header>", "", "the table has no header"),
-        _row(head.where(F.regexp_replace("text", "^﻿", "") != names), "HEADER_MISMATCH", table, 1, "<header>", F.col("text"), "the header is not the expected one"),
+        _row(head.where(~F.col("_fits")), "HEADER_MISMATCH", table, 1, "<header>", F.col("text"), "the header is not the expected one"),
         _row(body.where(blank), "BLANK_ROW", table, F.col("line"), "<row>", "", "blank rows are not allowed"),
         _row(body.where(~blank & (F.size(cells) != width)), "COLUMN_COUNT_MISMATCH", table, F.col("line"), "<row>", F.size(cells), "the row has another number of columns"),
     ])
