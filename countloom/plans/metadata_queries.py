@@ -14,7 +14,7 @@ from countloom.operators import joins as J
 from countloom.operators import mining as M
 from countloom.plans.registry import Registry, rounded
 from countloom.plans.reviewed import TEXT, reviewed
-from countloom.plans.rule_queries import MISS, manifest_issues
+from countloom.plans.rule_queries import MANIFEST_RULES, MISS, manifest_issues
 from countloom.plans.views import Views, sql
 
 queries = Registry()
@@ -185,7 +185,8 @@ queries.add(
 )
 queries.add("exclusion_table", lambda v: A.exclusions({"manifest": reviewed(v, "manifest"), "plan": reviewed(v, "plan")}).select("record_id", "reason", "source_file"),
             sql("", "SELECT sample_id AS record_id, notes AS reason, 'manifest' AS source_file FROM manifest WHERE include = 'false' UNION ALL SELECT analysis_id, notes, 'plan' FROM plan WHERE include = 'false'", manifest=TEXT["manifest"], plan=TEXT["plan"]))
-queries.add("warning_table", lambda v: A.warnings(manifest_issues(v), "manifest").groupBy("severity").agg(F.count(F.lit(1)).alias("n")))
+queries.add("warning_table", lambda v: A.warnings(manifest_issues(v), "manifest").groupBy("severity").agg(F.count(F.lit(1)).alias("n")),
+            sql("", "SELECT severity, count(*) AS n FROM found WHERE severity <> 'info' GROUP BY 1", manifest=TEXT["manifest"], files=TEXT["files"], **MANIFEST_RULES))
 queries.add("package_manifest", lambda v: A.package_manifest(reviewed(v, "files").withColumns({"size_bytes": F.length("path"), "sha256": F.sha2("path", 256)}), ["data/ASIA.tsv"]).groupBy("reason", "included").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("sha256") == "NA").alias("no_sha")),
             sql("", "SELECT r AS reason, CASE WHEN r = 'included' THEN 'true' ELSE 'false' END AS included, count(*) AS n, count(*) FILTER (WHERE r <> 'included') AS no_sha FROM (SELECT CASE WHEN path LIKE '%.fastq.gz' THEN 'excluded_large_raw_sequence_file' WHEN path = 'data/ASIA.tsv' THEN 'excluded_package_output' ELSE 'included' END AS r FROM files) GROUP BY 1", files=TEXT["files"]))
 queries.add("result_provenance", lambda v: A.result_provenance(reviewed(v, "files").select("path", F.sha2("path", 256).alias("sha256")), reviewed(v, "files").where("path LIKE 'data/%'").select("path", F.sha2("path", 256).alias("sha256")), reviewed(v, "manifest"), producing_rule="r").select("result_file", "input_files", "manifest_rows"),
