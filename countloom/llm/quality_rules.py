@@ -27,7 +27,7 @@ from countloom.llm.textstats import (
 #: Shares are summed as whole millionths, so the sums do not depend on the order of the rows.
 UNIT = 1_000_000
 MIN_CHARS, MIN_WORDS = 200, 120
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.22, 0.40
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.26, 0.21
 
 
 def _histograms(df: DataFrame, lang: str) -> DataFrame:
