@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 
 import regex
 from pyspark import Broadcast
@@ -18,10 +17,6 @@ MAX_BYTES = 64_000_000
 #: Fixed value: the pattern that splits a text before the merges of byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Code points whose class depends on the Unicode version of a library.
-UNSURE = regex.compile(r"\p{Cn}")
-
-
 def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
     with open(path, "rb") as f:
         content = f.read(MAX_BYTES + 1)
@@ -63,11 +58,6 @@ def plain(text: str) -> bool:
     return ODD.search(text) is None
 
 
-def simple(text: str) -> bool:
-    """Whether Python's and the library's character tables must agree on the text."""
-    return text.isascii() or UNSURE.search(text) is None
-
-
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in byte-level vocabularies, by the rule that made them.
 
