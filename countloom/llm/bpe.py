@@ -18,6 +18,7 @@ Short texts, the bulk, are encoded word by word through a worker's cache.
 
 from __future__ import annotations
 
+import gc
 import json
 import uuid
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from countloom.llm import vocab
 from countloom.llm.ship import ship
 
-LEAF = 8192
+LEAF = 32_768
 CACHE_SIZE = 400_000
 #: Words above this length are joined from the tokens of their parts; shorter ones are encoded at once.
 LONG_WORD = 512
@@ -60,7 +61,8 @@ class Part(NamedTuple):
 class Codec:
     """Encoder and decoder of one word-level BPE file."""
 
-    def __init__(self, content: bytes) -> None:
+    def __init__(self, content: bytes, quick: bool) -> None:
+        self.quick = vocab.quick_encoder(content, r"(?s).+") if quick else None
         spec = json.loads(content)
         bare = {"normalizer": None, "added_tokens": [], "truncation": None, "padding": None}
         letters = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
@@ -76,18 +78,22 @@ class Codec:
         self.parts, self.special = vocab.special_pattern(content)
         self.tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.spelled = {b: c for c, b in vocab.byte_letters().items()}
-        self.word_ids: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
 
     # --- words
 
     def learn(self, words: list[str]) -> None:
-        """Encode the words that the cache lacks."""
-        if len(self.word_ids) > CACHE_SIZE:
-            self.word_ids.clear()
-        fresh = [w for w in dict.fromkeys(words) if w not in self.word_ids]
-        for w, made in zip(fresh, self.words.encode_batch_fast(fresh, add_special_tokens=False) if fresh else ()):
-            self.word_ids[w] = tuple(made.ids)
+        """Encode the words that the cache lacks: their ids and decoded text."""
+        if len(self.known) > CACHE_SIZE:
+            self.known.clear()
+        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
+        if self.quick is not None and all(map(vocab.plain, fresh)):
+            mark = vocab.MARK if self.suffix else ""
+            found = [tuple(self.quick.encode_ordinary(w + mark)) for w in fresh]
+        else:
+            found = [tuple(e.ids) for e in self.words.encode_batch_fast(fresh, add_special_tokens=False)]
+        for w, ids in zip(fresh, found):
+            self.known[w] = ids, self.decode(ids)
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Pre-tokens of a normalised text."""
@@ -96,15 +102,15 @@ class Codec:
         return [span for _, span in self.splits.pre_tokenizer.pre_tokenize_str(text)]
 
     def learn_chunks(self, chunks: set[str]) -> None:
-        """Chunks between blanks of plain lower-case text, to ids and decoded text."""
-        if len(self.chunks) > CACHE_SIZE:
-            self.chunks.clear()
-        fresh = [c for c in chunks if c not in self.chunks]
-        split = [self.pattern.findall(c) for c in fresh]
-        self.learn([w for words in split for w in words])
-        for chunk, words in zip(fresh, split):
-            ids = tuple(chain.from_iterable(map(self.word_ids.__getitem__, words)))
-            self.chunks[chunk] = ids, self.decode(ids)
+        """Chunks between blanks of plain lower-case text; one of letters alone is a word."""
+        if len(self.known) > CACHE_SIZE:
+            self.known.clear()
+        fresh = [c for c in chunks if c not in self.known]
+        mixed = [(c, self.pattern.findall(c)) for c in fresh if not c.isalpha()]
+        self.learn([c for c in fresh if c.isalpha()] + [w for _, words in mixed for w in words])
+        for chunk, words in mixed:
+            found = [self.known[w] for w in words]
+            self.known[chunk] = tuple(chain.from_iterable([f[0] for f in found])), " ".join([f[1] for f in found])
 
     def decode(self, ids) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
@@ -120,7 +126,7 @@ class Codec:
         out = []
         for text, simple, chunks in zip(texts, plain, pieces):
             if simple:
-                found = list(map(self.chunks.__getitem__, chunks))
+                found = list(map(self.known.__getitem__, chunks))
                 out.append((list(chain.from_iterable([f[0] for f in found])), " ".join([f[1] for f in found])))
             else:
                 ids = self.library.encode(text, add_special_tokens=False).ids
@@ -141,7 +147,7 @@ class Codec:
         spans = self.spans(text)
         words = [text[a:b] for a, b in spans]
         self.learn([w for w in words if len(w) <= LONG_WORD])
-        ids = [self.word_ids[w] if len(w) <= LONG_WORD else self.closed(w) for w in words]
+        ids = [self.known[w][0] if len(w) <= LONG_WORD else self.closed(w) for w in words]
         tail = self.opened(words[-1]) if spans and spans[-1][1] == len(text) else ()
         return Part(low, low + len(text), [low + a for a, _ in spans], [low + b for _, b in spans], ids, tail)
 
@@ -195,7 +201,7 @@ class Codec:
         if len(word) > LONG_WORD:
             return self.closed(word)
         self.learn([word])
-        return self.word_ids[word]
+        return self.known[word][0]
 
     def _grown(self, left: Part, right: Part, a: int, b: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
         """(closed, open) ids of a long word that is the last of the left and the first of the right side; None if it is not just that."""
@@ -241,9 +247,10 @@ def halves(text: str, low: int) -> Iterator[tuple[int, str]]:
     yield from halves(text[middle:], low + middle)
 
 
-def _codec(key: str, content: Broadcast) -> Codec:
+def _codec(key: str, content: Broadcast, quick: bool) -> Codec:
     if _worker.get("key") != key:
-        _worker.update(key=key, codec=Codec(content.value))
+        _worker.update(key=key, codec=Codec(content.value, quick))
+        gc.set_threshold(1_000_000)  # the cache is all live; walking it again and again is most of the time otherwise
     return _worker["codec"]
 
 
@@ -266,12 +273,13 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     spark = docs.sparkSession
     ship(spark)
     content = vocab.broadcast_file(spark, path)
+    quick = vocab.agrees(content.value)
     key = uuid.uuid4().hex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(key, content)
+        codec = _codec(key, content, quick)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(start, ROWS_AT_ONCE)
@@ -282,14 +290,14 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
                 )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(key, content)
+        codec = _codec(key, content, quick)
         for batch in batches:
             for k, t in zip(batch["key"], batch["text"]):
                 leaves = list(codec.cut(t))
                 yield pd.DataFrame(leaves, columns=["segment", "low", "special", "leaf"]).assign(key=k)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(key, content)
+        codec = _codec(key, content, quick)
         for batch in batches:
             parts = [codec.leaf(t, low) if s < 0 else None for t, low, s in zip(batch["leaf"], batch["low"], batch["special"])]
             yield batch.assign(
@@ -301,7 +309,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
             )
 
     def assemble(group: pd.DataFrame) -> pd.DataFrame:
-        codec = _codec(key, content)
+        codec = _codec(key, content, quick)
         ids: list[int] = []
         for _, rows in group.sort_values(["segment", "low"]).groupby("segment", sort=True):
             if rows["special"].iloc[0] >= 0:

@@ -68,14 +68,47 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def quick_encoder(content: bytes):
-    """A tiktoken.Encoding with the merges of a byte-level BPE file, or None where merge order and ids disagree."""
+#: Stands for the end of a word in the quick encoder; no plain text holds it.
+MARK = "\x00"
+
+
+def quick_encoder(content: bytes, pattern: str):
+    """A tiktoken.Encoding with the merges of a byte-level BPE file; where words have an ending, it is written as ``MARK``.
+
+    It joins neighbours whenever their sum is a token, the file only those pairs
+    that it lists.  Both give the same if ids follow the order of the merges and
+    each token encodes to itself: the pairs inside a token then arise in one order
+    only.  ``agrees`` checks that.
+    """
     import tiktoken
 
     model = json.loads(content)["model"]
-    ids, letters = model["vocab"], byte_letters()
-    made = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-    if model.get("end_of_word_suffix") or any(a >= b for a, b in zip(made, made[1:])):
-        return None
-    ranks = {bytes(letters[c] for c in token): i for token, i in ids.items()}
-    return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    ids, letters, ending = model["vocab"], byte_letters(), model.get("end_of_word_suffix") or ""
+    cut = -len(ending) or None
+    ranks = {}
+    for token, i in ids.items():
+        closed = bool(ending) and token.endswith(ending)
+        spelled = bytes(letters[c] for c in (token[:cut] if closed else token))
+        if not ending or MARK.encode() not in spelled:
+            ranks[spelled + (MARK.encode() if closed else b"")] = i
+    if ending:
+        ranks[MARK.encode()] = 2 * len(ids)
+    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def agrees(content: bytes) -> bool:
+    """Whether the quick encoder gives what the file's own library gives, see there."""
+    spec = json.loads(content)
+    ids = spec["model"]["vocab"]
+    made = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+    if not made or any(a >= b for a, b in zip(made, made[1:])) or made[0] != len(ids) - len(made):
+        return False
+    ending = spec["model"].get("end_of_word_suffix") or ""
+    whole = tokenizer(content).model
+    open_model = tokenizer(content, model=spec["model"] | {"end_of_word_suffix": None}).model if ending else whole
+    for token, i in ids.items():
+        closed = bool(ending) and token.endswith(ending)
+        found = (whole if closed else open_model).tokenize(token[: len(token) - len(ending)] if closed else token)
+        if [t.id for t in found] != [i]:
+            return False
+    return True
