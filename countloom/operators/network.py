@@ -40,20 +40,36 @@ def coexpression(expression: DataFrame, value: str = "value", power: float = 6.0
     return edges.select(*by, F.col("col_i").alias("gene_a"), F.col("col_j").alias("gene_b"), a.alias("adjacency"), tom.alias("tom")), degree
 
 
-def connected(nodes: DataFrame, edges: DataFrame, by: list[str], rounds: int = 20) -> DataFrame:
-    """Smallest label reachable over the edges (a, b); written out every round, stops when settled."""
-    labels = reuse(nodes.select(*by, "node", F.col("node").alias("label")))
-    both = reuse(edges.select(*by, F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(*by, F.col("b").alias("node"), F.col("a").alias("other"))))
-    for _ in range(rounds):
-        # Two hops a round: neighbours' labels, then the label of one's own label.
-        near = both.join(labels.withColumnsRenamed({"node": "other"}), [*by, "other"]).groupBy(*by, "node").agg(F.min("label").alias("_near"))
-        step = labels.join(near, [*by, "node"], "left").select(*by, "node", "label", F.least("label", F.coalesce("_near", "label")).alias("_new"))
-        jump = step.select(*by, F.col("node").alias("_new"), F.col("_new").alias("_far"))
-        moved = reuse(step.join(jump, [*by, "_new"], "left").select(*by, "node", F.col("label").alias("_old"), F.least("_new", F.coalesce("_far", "_new")).alias("label")))
-        labels = moved.select(*by, "node", "label")
-        if moved.where(F.col("_old") != F.col("label")).limit(1).count() == 0:
+def connected(nodes: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
+    """Smallest label reachable over the edges (a, b), per ``by``; runs until nothing moves.
+
+    Large-star and small-star turns: each node hands its neighbours to the
+    smallest one it knows, first those above it, then those below.  Edges never
+    grow in number, distances shrink by a constant factor each turn, and the fixed
+    point is a star around the smallest node of every component.
+    """
+    links = edges.where(F.col("a") != F.col("b"))
+    links = reuse(links.select(*by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    mark = F.xxhash64(*by, "a", "b")
+    state = links.agg(F.count(F.lit(1)), F.bit_xor(mark)).first()
+    while state[0]:
+        for large in (True, False):
+            pairs = links.select(*by, F.col("a").alias("u"), F.col("b").alias("v"))
+            if large:
+                pairs = pairs.unionByName(links.select(*by, F.col("b").alias("u"), F.col("a").alias("v")))
+            lowest = pairs.groupBy(*by, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            met = pairs.join(lowest, [*by, "u"])
+            moved = met.where(F.col("v") > F.col("u")) if large else met.where(F.col("v") != F.col("m"))
+            found = moved.select(*by, F.col("v").alias("a"), F.col("m").alias("b"))
+            if not large:
+                found = found.unionByName(met.select(*by, F.col("u").alias("a"), F.col("m").alias("b")))
+            links = found.where(F.col("a") != F.col("b")).distinct()
+        links = reuse(links)
+        before, state = state, links.agg(F.count(F.lit(1)), F.bit_xor(mark)).first()
+        if state == before:
             break
-    return labels
+    stars = links.select(*by, F.col("a").alias("node"), F.col("b").alias("label"))
+    return nodes.join(stars, [*by, "node"], "left").select(*by, "node", F.coalesce("label", "node").alias("label"))
 
 
 def modules(edges: DataFrame, expression: DataFrame, value: str = "value", threshold: float = 0.2, min_size: int = 5) -> tuple[DataFrame, DataFrame]:
