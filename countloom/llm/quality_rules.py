@@ -21,11 +21,15 @@ from countloom.llm.textstats import (
     found_words,
     line_counts,
     repeat_words,
+    settled,
     words_of,
 )
 
 #: Shares are summed as whole millionths, so the sums do not depend on the order of the rows.
 UNIT = 1_000_000
+ADDED = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept",
+)
 MIN_CHARS, MIN_WORDS = 200, 120
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.26, 0.21
 
@@ -65,10 +69,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     those of the fixed word lists.  An empty table gives no reference.
     """
     df = blanked(docs.select(F.col(text).alias("_text"), F.col(lang).alias("_language")), "_text")
-    df = _histograms(words_of(df), "_language").where(F.col("_n") > 0)
+    df = _histograms(words_of(df), "_language")
     width = {code: len(words) + 1 for code, words in COMMON.items()}
-    shares = [F.floor(F.col("_chars")[i] * UNIT / F.col("_len")) for i in range(len(CLASS_NAMES))]
-    shares += [F.floor(F.get("_common", F.lit(i)) * UNIT / F.col("_n")) for i in range(max(width.values()))]
+    shares = [F.floor(F.try_divide(F.when(F.col("_n") > 0, F.col("_chars")[i]) * UNIT, F.col("_len"))) for i in range(len(CLASS_NAMES))]
+    shares += [F.floor(F.try_divide(F.get("_common", F.lit(i)) * UNIT, F.col("_n"))) for i in range(max(width.values()))]
     sums = df.groupBy("_lang").agg(*[F.sum(s).alias(f"s{i}") for i, s in enumerate(shares)]).collect()
     totals = {row["_lang"]: [row[f"s{i}"] or 0 for i in range(len(shares))] for row in sums}
     if totals:
@@ -151,4 +155,5 @@ def quality_rules(
         F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance
     )
     df = df.withColumn("kept", ~F.col("base_failed") & fits)
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    df = df.drop(*[c for c in df.columns if c.startswith("_")])
+    return settled(df, ADDED)

@@ -115,3 +115,14 @@ def repeat_words(df: DataFrame) -> DataFrame:
 
 def share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+
+
+def settled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows; later filters on ``columns`` use the values instead of working them out once more.
+
+    A filter is otherwise moved below the projections and takes a copy of each
+    expression along, loops over words included.  One-element arrays hold it off.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    held = F.explode(F.array(F.struct(*[F.col(c) for c in columns]))).alias("_held")
+    return df.select(*rest, held).select(*rest, *[F.col(f"_held.{c}").alias(c) for c in columns])
