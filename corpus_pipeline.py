@@ -17,6 +17,7 @@ from countloom.llm.mixing import in_training_order, mix
 from countloom.llm.ngram_join import one_of_each
 from countloom.llm.quality_classifier import fit, score
 from countloom.llm.quality_rules import quality_rules
+from countloom.llm.store import stored
 from countloom.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -50,9 +51,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document taken in part is written whole: encoding works on whole texts.
     """
-    mixed = mix(docs.select(*COLUMNS), WEIGHTS, SHARE, keep=("text", "lang", "n_chars")).where("passes > 0")
-    repeated = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes"))))
-    return in_training_order(repeated).select(*COLUMNS)
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mixed")
+    mixed = mix(rows, WEIGHTS, SHARE, keep=("_row",)).where("passes > 0").select("_row", "passes", "position")
+    taken = rows.join(mixed, "_row").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes"))))
+    return in_training_order(taken).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

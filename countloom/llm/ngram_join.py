@@ -168,14 +168,16 @@ def jaccard_classes(
     signed = stored(signed, "signed")
     entries = signed.select(F.explode("bands").alias("band"), "key", "n", "bits_a", "bits_b")
 
-    # Buckets of one text are done; for the others the smallest key leads.
-    slim = F.struct("key", "n", "bits_a", "bits_b")
+    # Buckets of one text are done.  In the others the leader is drawn by a hash of key and band, so that a large
+    # group meets another leader in every band and falls into few classes at once.
+    slim = F.struct(F.xxhash64("key", "band").alias("draw"), "key", "n", "bits_a", "bits_b")
     buckets = entries.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(slim).alias("lead"))
     met = entries.join(buckets.where(F.col("size") > 1).drop("size"), "band")
     met = stored(met, "buckets")
     likely = _likely(threshold, bands * rows)
     first = met.where(F.col("key") != F.col("lead.key")).where(likely("n", "bits_a", "bits_b", "lead."))
-    pairs = stored(first.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct(), "pairs")
+    first = first.select(F.greatest("key", "lead.key").alias("a"), F.least("key", "lead.key").alias("b"))
+    pairs = stored(first.distinct(), "pairs")
     wanted = met.select("key").distinct()
     sets = texts.select("key", "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     sets = stored(sets.mapInArrow(_gram_sets(n), "key binary, grams array<long>"), "grams")
