@@ -2,13 +2,12 @@
 
 Equal texts are one class from the start.  Each distinct text gets minimum
 hashes of its word n-grams; band and row counts are chosen for a target recall
-at the threshold.  Texts that share a band hash meet after one shuffle on it.
-Within a bucket, every text is first compared with one leader, then with the one
-that has most links; what is linked by then is one class and need not be
-compared again.  All pairs of a bucket across classes are compared after that,
-so a group of n near copies costs about n comparisons, and no pair between
-classes is passed over.  Before a pair becomes a row, its sizes and the one-bit
-sketches of both sides must allow the threshold.
+at the threshold.  Texts that share a band hash meet
+after one shuffle on it.  Each text of a bucket is first compared with a leader
+drawn for the bucket; what is linked by then is one class.  Buckets that still
+hold several classes are compared text by text in blocks of bounded size, and
+only links that join two classes leave a block, so a group of n near copies
+costs about n rows and no link between classes is lost.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
@@ -33,6 +33,8 @@ WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 #: Odd multiplier of the rolling combination of word hashes.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 8192
+#: Texts of a bucket that one task compares with as many others, and set columns held at once while it does.
+BUCKET_BLOCK, COLUMNS_AT_ONCE = 1024, 4096
 #: Standard deviations of the sketch below the threshold's expectation at which a pair is given up.
 SLACK = 6.0
 
@@ -151,8 +153,8 @@ def jaccard_classes(
 
     ``members``: one row per distinct text: key, rep (smallest id that has the
     text), copies, class_key and class_id (smallest id of the class), n_links
-    (other texts verified as similar).  ``links``: verified pairs of keys and their
-    similarity.  Null and empty texts are equal texts; blank texts have no grams
+    (verified links to other texts among those that hold the class together).
+    ``links``: those links, as pairs of keys, and their similarity.  Null and empty texts are equal texts; blank texts have no grams
     and no links.  Repeated rows and ties need no order: everything is a function
     of the text.  Only the named columns are read.
     """
@@ -185,31 +187,19 @@ def jaccard_classes(
     keys = wanted.withColumnRenamed("key", "node")
     classes = stored(connected(keys, links.select("a", "b"), []), "classes")
 
-    # The text with most links leads next; only texts of other classes are compared with it.
-    ends = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
-    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("d"))
-    known = met.drop("lead").join(classes.select(F.col("node").alias("key"), "label"), "key").join(degree, "key", "left")
-    member = F.struct((-F.coalesce("d", F.lit(0))).alias("d"), "key", "n", "bits_a", "bits_b", "label")
-    hubs = known.groupBy("band").agg(F.min(member).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = stored(known.drop("d").join(hubs.where(F.col("low") != F.col("high")).drop("low", "high"), "band"), "open")
-    second = open_.where(F.col("label") != F.col("lead.label")).where(likely("n", "bits_a", "bits_b", "lead."))
-    second = second.select(F.greatest("key", "lead.key").alias("a"), F.least("key", "lead.key").alias("b")).distinct()
-    tested = pairs
-    pairs = stored(second.join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = stored(_verified(pairs, sets, threshold), "links")
-    links = links.unionByName(more)
-    classes = stored(connected(keys, links.select("a", "b"), []), "classes")
-
-    # What is left of each bucket: pairs across classes, untested and likely.
-    tested = tested.unionByName(pairs)
-    rest = open_.select("band", "key", "n", "bits_a", "bits_b").join(classes.select(F.col("node").alias("key"), "label"), "key")
-    split = rest.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rest = stored(rest.join(split.where(F.col("low") != F.col("high")).select("band"), "band", "left_semi"), "rest")
-    left = rest.select("band", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "bits_a", "bits_b", "label")])
-    across = rest.join(left, "band").where((F.col("key") > F.col("x_key")) & (F.col("label") != F.col("x_label")))
-    across = across.where(likely("n", "bits_a", "bits_b", "x_")).select(F.col("key").alias("a"), F.col("x_key").alias("b"))
-    pairs = stored(across.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-    last = stored(_verified(pairs, sets, threshold), "links")
+    # Buckets that still hold several classes, block against block: first the sketches pick the texts that could link
+    # two classes, then those are compared by their full sets.  Both return texts or class-joining links, never pairs.
+    known = met.select("band", "key", "n", "bits_a", "bits_b").join(classes.select(F.col("node").alias("key"), "label"), "key")
+    mixed = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    mixed = mixed.where(F.col("low") != F.col("high")).select("band", F.ceil(F.col("size") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    rest = _block_pairs(known.join(mixed, "band"))
+    suspects = rest.groupBy("band", "one", "two").applyInPandas(
+        _suspects(threshold, bands * rows), "band long, one int, two int, key binary, label binary"
+    )
+    suspects = stored(suspects, "suspects")
+    held = suspects.join(sets, "key").groupBy("band", "one", "two")
+    last = held.applyInPandas(_joining_links(threshold), "a binary, b binary, similarity double")
+    last = stored(last.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
     links = links.unionByName(last)
     classes = stored(connected(keys, links.select("a", "b"), []), "classes")
 
@@ -223,10 +213,88 @@ def jaccard_classes(
     return members.select("key", "rep", "copies", "class_key", "class_id", "n_links"), links
 
 
+def _block_pairs(entries: DataFrame) -> DataFrame:
+    """Each bucket entry once for every pair of blocks that its own block is part of; small buckets are one block."""
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    met = entries.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "key", "n", "bits_a", "bits_b", "label")
+
+
+def _suspects(threshold: float, hashes: int):
+    """Entries of a block pair that could link to an entry of another class, going by sizes and sketches."""
+    most = _most_bits(threshold, hashes)
+
+    def pick(rows: pd.DataFrame) -> pd.DataFrame:
+        n, label = rows["n"].to_numpy(), pd.factorize(rows["label"])[0]
+        bits = rows[["bits_a", "bits_b"]].to_numpy().view(np.uint64)
+        hit = np.zeros(len(rows), dtype=bool)
+        for i in range(len(rows)):
+            apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
+            near = (apart <= most) & (np.minimum(n, n[i]) >= np.maximum(n, n[i]) * threshold - 1e-9) & (label != label[i])
+            if near.any():
+                hit |= near
+                hit[i] = True
+        return rows.loc[hit, ["band", "one", "two", "key", "label"]]
+
+    return pick
+
+
+def _joining_links(threshold: float):
+    """Verified links of a block pair that each join two classes; once joined, two classes need no further link."""
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key").reset_index(drop=True)
+        sizes = np.array([len(g) for g in rows["grams"]], dtype=np.float64)
+        grams = np.concatenate(rows["grams"].to_list())
+        owner = np.repeat(np.arange(len(rows)), sizes.astype(np.int64))
+        names, place, times = np.unique(grams, return_inverse=True, return_counts=True)
+        shared = times > 1
+        number = np.cumsum(shared) - 1
+        keep = shared[place]
+        owner, place = owner[keep], number[place[keep]]
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        both = np.zeros((len(rows), len(rows)), dtype=np.float32)
+        for start in range(0, int(shared.sum()), COLUMNS_AT_ONCE):
+            low, high = np.searchsorted(place, [start, start + COLUMNS_AT_ONCE])
+            part = np.zeros((len(rows), COLUMNS_AT_ONCE), dtype=np.float32)
+            part[owner[low:high], place[low:high] - start] = 1.0
+            both += part @ part.T
+        parent = list(range(len(rows)))
+        group = pd.factorize(rows["label"])[0]
+        head: dict[int, int] = {}
+        for i, g in enumerate(group):
+            parent[i] = head.setdefault(g, i)
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        out = []
+        for i in range(len(rows)):
+            union = sizes[i] + sizes - both[i]
+            for j in np.flatnonzero((both[i] >= threshold * union - 1e-9) & (group != group[i])):
+                x, y = root(i), root(int(j))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    a, b = max(i, int(j)), min(i, int(j))
+                    out.append((rows["key"][a], rows["key"][b], float(both[i][j] / union[j])))
+        return pd.DataFrame(out, columns=["a", "b", "similarity"])
+
+    return settle
+
+
+def _most_bits(threshold: float, hashes: int) -> int:
+    """How many sketch bits may differ at the threshold, slack included."""
+    apart = (1 - threshold) / 2
+    return math.ceil(hashes * apart + SLACK * math.sqrt(hashes * apart * (1 - apart)))
+
+
 def _likely(threshold: float, hashes: int):
     """Condition on two sketches: sizes allow the threshold, and differing bits are not above what it lets expect plus slack."""
-    apart = (1 - threshold) / 2
-    most = math.ceil(hashes * apart + SLACK * math.sqrt(hashes * apart * (1 - apart)))
+    most = _most_bits(threshold, hashes)
 
     def condition(n: str, a: str, b: str, other: str) -> Column:
         x, y = F.col(n), F.col(f"{other}{n}")
