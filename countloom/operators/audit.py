@@ -11,7 +11,7 @@ from countloom.functions.missing import bool_text, or_na, present
 
 # Words a result text must not use unqualified, and sequence file endings.
 BANNED_WORDS = (" causal ", " driver ", " mechanism ")
-RAW_ENDINGS = (".fastq", ".fq", ".fastq.gz", ".fq.gz")
+RAW_ENDINGS = (".fastq", ".fq", ".fastq.gz", ".fq.gz", ".sra", ".bam", ".cram")
 MODULES = ("per_dataset", "merged_analysis", "meta_analysis", "consensus", "integration", "compatibility", "reports")
 ROW_KEYS = ("sample_id", "contrast_id", "analysis_id", "dataset_id", "author_label")
 

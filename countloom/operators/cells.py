@@ -245,11 +245,22 @@ def log_normalize(cell_counts: DataFrame, target: float = 10000.0) -> DataFrame:
     )
 
 
+def refuse(bad: DataFrame, what: str) -> None:
+    """Raise when ``bad`` has a row, naming the first of them."""
+    first = bad.limit(1).collect()
+    if first:
+        raise ValueError(f"{what}, for example {first[0].asDict()}")
+
+
 def map_ontology(cells: DataFrame, ontology: DataFrame) -> DataFrame:
-    """Confirmed (dataset, label) mapping; three harmonised levels, null when unmapped."""
+    """Confirmed (dataset, label) mapping; three harmonised levels, null when unmapped.
+
+    A label confirmed more than once is refused: it would multiply its cells.
+    """
     keys = ["dataset_id", "author_label"]
     levels = ["harmonized_level1", "harmonized_level2", "harmonized_level3"]
     confirmed = ontology.where(F.col("review_status") == "confirmed").select(*keys, *levels)
+    refuse(confirmed.groupBy(*keys).count().where("count > 1"), "labels confirmed more than once")
     return cells.join(confirmed, keys, "left")
 
 
@@ -260,7 +271,12 @@ def unmapped_labels(cells: DataFrame, ontology: DataFrame) -> DataFrame:
 
 
 def attach_samples(cells: DataFrame, samples: DataFrame) -> DataFrame:
-    """Reviewed sample fields copied to cells; the id becomes dataset:sample:barcode."""
+    """Reviewed sample fields copied to cells; the id becomes dataset:sample:barcode.
+
+    Cells of unknown samples, and sample ids that are reviewed twice, are refused.
+    """
+    refuse(samples.groupBy("sample_id").count().where("count > 1"), "sample ids that are not unique")
+    refuse(cells.select("sample_id").distinct().join(samples, "sample_id", "left_anti"), "cells of unknown samples")
     extra = [c for c in samples.columns if c not in cells.columns]
     joined = cells.join(samples.select("sample_id", *extra), "sample_id")
     return joined.withColumn("cell_id", F.concat_ws(":", "dataset_id", "sample_id", or_na("barcode")))

@@ -85,8 +85,12 @@ def modules(edges: DataFrame, expression: DataFrame, value: str = "value", thres
     dense = real.join(samples, by).join(expression.select(*by, "gene_id", "sample_id", F.col(value).cast("double").alias("x")), [*by, "gene_id", "sample_id"], "left").na.fill(0.0, ["x"])
     w = W.partitionBy(*by, "gene_id")  # one gene's samples
     z = F.try_divide(F.col("x") - F.avg("x").over(w), F.stddev_samp("x").over(w))
-    scaled = dense.select(F.concat_ws("|", "dataset_id", "module").alias("dataset_id"), "gene_id", "sample_id", F.coalesce(z, F.lit(0.0)).alias("count"))
-    first = sample_pca(scaled, k=1, transform="none").select(F.substring_index("dataset_id", "|", 1).alias("dataset_id"), F.substring_index("dataset_id", "|", -1).alias("module"), "sample_id", F.col("PC1").alias("eigengene"))
+    pair = F.to_json(F.struct("dataset_id", "module"))
+    scaled = dense.select(pair.alias("dataset_id"), "gene_id", "sample_id", F.coalesce(z, F.lit(0.0)).alias("count"))
+    parts = F.from_json("dataset_id", "dataset_id string, module string")
+    first = sample_pca(scaled, k=1, transform="none").select(
+        parts["dataset_id"].alias("dataset_id"), parts["module"].alias("module"), "sample_id", F.col("PC1").alias("eigengene")
+    )
     return named, first
 
 

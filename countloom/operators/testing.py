@@ -95,7 +95,7 @@ def contrast_test(
     names = _design_names(model.transform(about))
     target = next(i for i, name in enumerate(names) if name.startswith("group"))
     p = len(names)
-    design = coded.select("sample_id", *[F.col("_x")[i].alias(f"_x{i}") for i in range(p)])
+    design = coded.select(*SAMPLE, *[F.col("_x")[i].alias(f"_x{i}") for i in range(p)])
     products = design.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"p{i}_{j}") for i in range(p) for j in range(i, p)],
@@ -108,7 +108,7 @@ def contrast_test(
         raise ValueError("no residual degrees of freedom")
     scaled = size_normalize(counts.join(about.select(*SAMPLE), SAMPLE, "left_semi"))
     y = F.log2(F.col("normalized") + 1)
-    fits = scaled.join(design, "sample_id").groupBy("gene_id").agg(
+    fits = scaled.join(design, SAMPLE).groupBy("gene_id").agg(
         F.sum("count").alias("total"), F.avg("normalized").alias("mean_present"), F.sum("normalized").alias("norm_sum"),
         F.sum(y * y).alias("yy"), *[F.sum(F.col(f"_x{i}") * y).alias(f"b{i}") for i in range(p)],
     ).where((F.col("total") >= min_total) & (F.col("total") > 0))

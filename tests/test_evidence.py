@@ -128,3 +128,24 @@ def test_compatibility_reasons(spark):
     with pytest.raises(ValueError):
         compat.strategy_of(plan, "B")
     assert compat.strategy_of(plan, "A") == "joint_model"
+
+
+def test_connected_chain_is_one_component(spark):
+    import random
+
+    from countloom.operators.network import connected
+
+    ids = list(range(400))
+    random.Random(3).shuffle(ids)
+    edges = spark.createDataFrame([("d", a, b) for a, b in zip(ids, ids[1:])], "dataset_id string, a long, b long")
+    nodes = spark.createDataFrame([("d", i) for i in range(401)], "dataset_id string, node long")
+    labels = {r["node"]: r["label"] for r in connected(nodes, edges, ["dataset_id"]).collect()}
+    assert set(labels.values()) == {0, 400} and labels[400] == 400
+
+
+def test_neighbours_of_equal_vectors_are_the_smallest_ids(spark):
+    from countloom.operators.cellgraph import knn
+
+    vectors = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], "id long, vector array<double>")
+    near = knn(vectors, 5).where("id = 7").collect()
+    assert sorted(r["neighbor"] for r in near) == [0, 1, 2, 3, 4]
