@@ -12,6 +12,7 @@ costs about n rows and no link between classes is lost.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 #: Odd multiplier of the rolling combination of word hashes.
 ODD = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = 8192
+#: Grams hashed at a time: the block of hashes stays in a core's cache.
+BLOCK = 512
 #: Texts of a bucket that one task compares with as many others, and set columns held at once while it does.
 BUCKET_BLOCK, COLUMNS_AT_ONCE = 1024, 4096
 #: Standard deviations of the sketch below the threshold's expectation at which a pair is given up.
@@ -74,6 +76,7 @@ def shingles(text: str, n: int) -> np.ndarray:
     return np.unique(grams)
 
 
+@functools.cache
 def _coefficients(count: int) -> tuple[np.ndarray, np.ndarray]:
     made = np.random.default_rng(20240229).integers(1, 2**63, size=(2, count), dtype=np.uint64)
     return made[0] * np.uint64(2) + np.uint64(1), made[1]
@@ -82,12 +85,14 @@ def _coefficients(count: int) -> tuple[np.ndarray, np.ndarray]:
 def minimum_hashes(grams: np.ndarray, count: int) -> np.ndarray:
     """``count`` minimum hashes (32 bits each) of a set, worked through in blocks so that long texts stay small."""
     a, b = _coefficients(count)
-    low = np.full(count, 2**32 - 1, dtype=np.uint32)
+    low = np.full(count, 2**64 - 1, dtype=np.uint64)
+    room = np.empty((count, min(BLOCK, len(grams))), dtype=np.uint64)
     for start in range(0, len(grams), BLOCK):
         some = grams[start : start + BLOCK]
-        hashed = (a[:, None] * some[None, :] + b[:, None]) >> np.uint64(32)
-        np.minimum(low, hashed.min(axis=1).astype(np.uint32), out=low)
-    return low
+        hashed = np.multiply(a[:, None], some[None, :], out=room[:, : len(some)])
+        hashed += b[:, None]
+        np.minimum(low, hashed.min(axis=1), out=low)
+    return (low >> np.uint64(32)).astype(np.uint32)
 
 
 def band_hashes(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
