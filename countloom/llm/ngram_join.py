@@ -192,9 +192,10 @@ def jaccard_classes(
     keys = wanted.withColumnRenamed("key", "node")
     classes = stored(connected(keys, links.select("a", "b"), []), "classes")
 
-    # Buckets that still hold several classes, block against block: first the sketches pick the texts that could link
-    # two classes, then those are compared by their full sets.  Both return texts or class-joining links, never pairs.
-    known = met.select("band", "key", "n", "bits_a", "bits_b").join(classes.select(F.col("node").alias("key"), "label"), "key")
+    # Buckets whose other texts still hold several classes, block against block: first the sketches pick the texts that
+    # could link two classes, then those are compared by their full sets.  Both return texts or class-joining links,
+    # never pairs.  The leader has met every text of its bucket already.
+    known = met.where(F.col("key") != F.col("lead.key")).select("band", "key", "n", "bits_a", "bits_b").join(classes.select(F.col("node").alias("key"), "label"), "key")
     mixed = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     mixed = mixed.where(F.col("low") != F.col("high")).select("band", F.ceil(F.col("size") / BUCKET_BLOCK).cast("int").alias("blocks"))
     rest = _block_pairs(known.join(mixed, "band"))
