@@ -14,23 +14,23 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countloom.llm import vocab
 from countloom.llm.ship import ship
 from countloom.llm.store import stored
 from countloom.operators.network import connected
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes of a text that are hashed at a time.
+PIECE = 1 << 20
 #: Odd multiplier of the rolling combination of word hashes.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Grams hashed at a time: the block of hashes stays in a core's cache.
@@ -40,8 +40,6 @@ BUCKET_BLOCK, COLUMNS_AT_ONCE = 1024, 4096
 #: Standard deviations of the sketch below the threshold's expectation at which a pair is given up.
 SLACK = 6.0
 
-_words: dict[str, int] = {}
-
 
 def bands_for(threshold: float, recall: float, max_hashes: int) -> tuple[int, int]:
     """(bands, rows): as many rows as ``max_hashes`` allows while a pair at the threshold is found with probability ``recall``."""
@@ -55,25 +53,58 @@ def bands_for(threshold: float, recall: float, max_hashes: int) -> tuple[int, in
     return best
 
 
+@functools.cache
+def _letters() -> np.ndarray:
+    return np.random.default_rng(7).integers(1, 2**63, size=256, dtype=np.uint64)
+
+
+@functools.lru_cache(4)
+def _powers(count: int) -> np.ndarray:
+    return np.cumprod(np.full(count, ODD, dtype=np.uint64))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hash of each word in order: its bytes' table values, weighed by their place in the word.
+
+    Works on pieces of about ``PIECE`` bytes that end at a blank, so long texts stay small.
+    """
+    data, start, out = text.encode(), 0, []
+    while start < len(data):
+        cut = BLANK.search(data, start + PIECE)
+        end = cut.start() if cut else len(data)
+        raw = np.frombuffer(data, dtype=np.uint8, count=end - start, offset=start)
+        inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        first = np.flatnonzero(first[inside])
+        if len(first):
+            letters = _letters()[raw[inside]]
+            lengths = np.diff(first, append=len(letters))
+            power = 1 << int(lengths.max()).bit_length()
+            letters *= _powers(power)[np.arange(len(letters)) - np.repeat(first, lengths)]
+            out.append(_mixed(np.add.reduceat(letters, first)))
+        start = end
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
 def shingles(text: str, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the lower-cased word n-grams; a text of fewer words is one gram, a blank one none."""
-    lowered = text.lower()
-    words = lowered.split() if vocab.plain(lowered) else WORD.findall(lowered)
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(_words) > 1_000_000:
-        _words.clear()
-    fresh = [w for w in dict.fromkeys(words) if w not in _words]
-    _words.update(zip(fresh, map(xxhash.xxh3_64_intdigest, fresh)))
-    h = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
-    size = min(n, len(words))
+    h = word_hashes(text.lower())
+    if not len(h):
+        return h
+    size = min(n, len(h))
     grams = h[: len(h) - size + 1].copy()
     for i in range(1, size):
         grams = grams * ODD + h[i : len(h) - size + 1 + i]
-    grams ^= grams >> np.uint64(31)
-    grams *= np.uint64(0xBF58476D1CE4E5B9)
-    grams ^= grams >> np.uint64(29)
-    return np.unique(grams)
+    grams = np.sort(_mixed(grams))
+    return grams[np.append(True, grams[1:] != grams[:-1])]
 
 
 @functools.cache
