@@ -230,7 +230,9 @@ def jaccard_classes(
     mixed = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     mixed = mixed.where(F.col("low") != F.col("high")).select("band", F.ceil(F.col("size") / BUCKET_BLOCK).cast("int").alias("blocks"))
     rest = _block_pairs(known.join(mixed, "band"))
-    suspects = rest.groupBy("band", "one", "two").applyInPandas(
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = rest.repartition(parts, "band", "one", "two").sortWithinPartitions("band", "one", "two")
+    suspects = rest.mapInPandas(
         _suspects(threshold, bands * rows), "band long, one int, two int, key binary, label binary"
     )
     suspects = stored(suspects, "suspects")
@@ -258,20 +260,46 @@ def _block_pairs(entries: DataFrame) -> DataFrame:
 
 
 def _suspects(threshold: float, hashes: int):
-    """Entries of a block pair that could link to an entry of another class, going by sizes and sketches."""
-    most = _most_bits(threshold, hashes)
+    """Entries of a block pair that could link to an entry of another class, going by sizes and sketches.
 
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        n, label = rows["n"].to_numpy(), pd.factorize(rows["label"])[0]
-        bits = rows[["bits_a", "bits_b"]].to_numpy().view(np.uint64)
-        hit = np.zeros(len(rows), dtype=bool)
-        for i in range(len(rows)):
-            apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
-            near = (apart <= most) & (np.minimum(n, n[i]) >= np.maximum(n, n[i]) * threshold - 1e-9) & (label != label[i])
-            if near.any():
-                hit |= near
-                hit[i] = True
-        return rows.loc[hit, ["band", "one", "two", "key", "label"]]
+    Rows come sorted by block pair, many pairs to a batch; the last one may go on in the next batch and is held back.
+    """
+    most = _most_bits(threshold, hashes)
+    block = ["band", "one", "two"]
+
+    def numbered(rows: pd.DataFrame) -> np.ndarray:
+        of = rows[block].to_numpy()
+        return np.append(0, np.cumsum((of[1:] != of[:-1]).any(axis=1)))
+
+    def some(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
+        end = np.searchsorted(run, run, "right")
+        label, n = pd.factorize(rows["label"])[0], rows["n"].to_numpy()
+        bits_a, bits_b = rows["bits_a"].to_numpy(), rows["bits_b"].to_numpy()
+        hit, at, step = np.zeros(len(rows), dtype=bool), np.arange(len(rows)), 0
+        # Every entry against the one ``step`` rows further on, for all block pairs of the batch at once.
+        while len(at):
+            step += 1
+            at = at[at + step < end[at]]
+            x = at[label[at] != label[at + step]]
+            y = x + step
+            apart = np.bitwise_count((bits_a[x] ^ bits_a[y]).view(np.uint64)) + np.bitwise_count((bits_b[x] ^ bits_b[y]).view(np.uint64))
+            near = (apart <= most) & (np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9)
+            hit[x[near]] = True
+            hit[y[near]] = True
+        return rows.loc[hit, [*block, "key", "label"]]
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            run = numbered(rows)
+            done = int(np.searchsorted(run, run[-1]))
+            yield some(rows.iloc[:done], run[:done])
+            held = rows.iloc[done:].reset_index(drop=True)
+        if held is not None:
+            yield some(held, numbered(held))
 
     return pick
 
