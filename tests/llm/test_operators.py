@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 
@@ -148,6 +149,38 @@ def test_near_duplicates(spark, odd_docs):
     assert ngram_join.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", [1, 5, 1 << 20])
+def test_shingles_equal_plain_sets(monkeypatch, piece):
+    monkeypatch.setattr(ngram_join, "PIECE", piece)
+    draw, seen = random.Random(1), {}
+    for _ in range(400):
+        text = "".join(draw.choice(["a", "b", "é", "漢", " ", "\n", "\x0b", " ", "A", "x1"]) for _ in range(draw.randint(0, 60)))
+        words = WORD.findall(text.lower())
+        size = min(5, len(words))
+        assert len(ngram_join.shingles(text, 5)) == len({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else ())
+        for word, value in zip(words, ngram_join.word_hashes(text.lower()), strict=True):
+            assert seen.setdefault(word, int(value)) == int(value)
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_suspects_equal_all_pairs_of_a_block():
+    draw, rows = random.Random(3), []
+    for band in range(6):
+        for i in range(draw.choice([2, 3, 30])):
+            rows.append((band, 0, 0, b"%d-%d" % (band, i), draw.choice([9, 10, 40]), draw.getrandbits(4), draw.getrandbits(40) - 2**39, b"%d" % draw.randint(0, 3)))
+    table = pd.DataFrame(rows, columns=["band", "one", "two", "key", "n", "bits_a", "bits_b", "label"])
+    most, want = ngram_join._most_bits(0.8, 60), set()
+    for p in rows:
+        for q in rows:
+            apart = sum(((p[c] ^ q[c]) & (2**64 - 1)).bit_count() for c in (5, 6))
+            if p[0] == q[0] and p[7] != q[7] and apart <= most and min(p[4], q[4]) >= 0.8 * max(p[4], q[4]) - 1e-9:
+                want.add(p[3])
+    for step in (1, 7, 1000):
+        batches = [table.iloc[i : i + step] for i in range(0, len(table), step)]
+        found = pd.concat(list(ngram_join._suspects(0.8, 60)(iter(batches))))
+        assert want and sorted(found["key"]) == sorted(want)
+
+
 def test_classifier_ranks_held_out_rows(spark):
     draw = random.Random(4)
     good = [" ".join(draw.choice(["the", "of", "river", "stone", "walks", "and"]) for _ in range(80)) + "." for _ in range(60)]
