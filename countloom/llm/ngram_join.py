@@ -8,6 +8,10 @@ drawn for the bucket; what is linked by then is one class.  Buckets that still
 hold several classes are compared text by text in blocks of bounded size, and
 only links that join two classes leave a block, so a group of n near copies
 costs about n rows and no link between classes is lost.
+
+Links run inside classes only.  To count them, every pair of distinct texts of a
+class is compared by its full sets, once, block against block, and a block pair
+returns one number per text.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 512
 #: Texts of a bucket that one task compares with as many others, and set columns held at once while it does.
 BUCKET_BLOCK, COLUMNS_AT_ONCE = 1024, 4096
+#: Grams of a class that one block holds, about.
+GRAMS_BLOCK = 1 << 20
 #: Standard deviations of the sketch below the threshold's expectation at which a pair is given up.
 SLACK = 6.0
 
@@ -183,14 +189,15 @@ def text_key(text: str) -> Column:
 
 def jaccard_classes(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD,
-    recall: float = RECALL, max_hashes: int = MAX_HASHES,
+    recall: float = RECALL, max_hashes: int = MAX_HASHES, counted: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links) of the near-duplicate join.
 
     ``members``: one row per distinct text: key, rep (smallest id that has the
     text), copies, class_key and class_id (smallest id of the class), n_links
-    (verified links to other texts among those that hold the class together).
-    ``links``: those links, as pairs of keys, and their similarity.  Null and empty texts are equal texts; blank texts have no grams
+    (how many other distinct texts of the class reach the threshold with it; left
+    out without ``counted``).  ``links``: verified links enough to hold the classes
+    together, as pairs of keys, and their similarity.  Null and empty texts are equal texts; blank texts have no grams
     and no links.  Repeated rows and ties need no order: everything is a function
     of the text.  Only the named columns are read.
     """
@@ -243,15 +250,92 @@ def jaccard_classes(
     classes = stored(connected(keys, links.select("a", "b"), []), "classes")
 
     reps = texts.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    ends = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
-    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    members = reps.join(classes.select(F.col("node").alias("key"), "label"), "key", "left").join(degree, "key", "left")
+    members = reps.join(classes.select(F.col("node").alias("key"), "label"), "key", "left")
     members = stored(members.withColumn("class_key", F.coalesce("label", "key")).drop("label"), "members")
     heads = members.groupBy("class_key").agg(F.min("rep").alias("class_id"))
-    members = members.join(heads, "class_key").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    members = members.join(heads, "class_key")
+    if not counted:
+        return members.select("key", "rep", "copies", "class_key", "class_id"), links
+    degree = _link_counts(classes.select(F.col("node").alias("key"), "label"), signed.select("key", "n"), sets, threshold)
+    members = members.join(degree, "key", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     return members.select("key", "rep", "copies", "class_key", "class_id", "n_links"), links
 
 
+def _link_counts(classes: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, n_links) of the texts that share a class (key, label) with others.
+
+    Two texts alone in a class are linked, or they would not be in it.  Larger
+    classes are compared block against block, each pair of texts in one block pair.
+    """
+    blocks = F.ceil(F.greatest(F.col("texts") / BUCKET_BLOCK, F.col("grams") / GRAMS_BLOCK)).cast("int")
+    groups = classes.join(sizes, "key").groupBy("label").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("grams"))
+    groups = groups.where(F.col("texts") > 1).select("label", "texts", blocks.alias("blocks"))
+    known = classes.join(groups, "label")
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    met = known.where(F.col("texts") > 2).withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("label", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "key")
+    found = met.join(sets, "key").groupBy("label", "one", "two").applyInPandas(_counted_links(threshold), "key binary, n_links long")
+    pairs = known.where(F.col("texts") == 2).select("key", F.lit(1).cast("long").alias("n_links"))
+    return stored(found.unionByName(pairs).groupBy("key").agg(F.sum("n_links").alias("n_links")), "degrees")
+
+
+def _counted_links(threshold: float):
+    """(key, links inside the block pair) of every text of a block pair."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        first, second = rows[rows["own"] == rows["one"]], rows[rows["own"] == rows["two"]]
+        if not len(first) or not len(second):
+            return pd.DataFrame({"key": [], "n_links": []})
+        within = bool(rows["one"].iloc[0] == rows["two"].iloc[0])
+        one = first["grams"].to_list()
+        two = one if within else second["grams"].to_list()
+        both = _overlaps(one, two)
+        sizes = np.array([len(g) for g in two], dtype=np.float64)
+        near = np.empty(both.shape, dtype=bool)
+        for i, grams in enumerate(one):
+            near[i] = both[i] >= threshold * (len(grams) + sizes - both[i]) - 1e-9
+        if within:
+            np.fill_diagonal(near, False)
+            return pd.DataFrame({"key": first["key"], "n_links": near.sum(axis=1)})
+        keys = pd.concat([first["key"], second["key"]], ignore_index=True)
+        return pd.DataFrame({"key": keys, "n_links": np.concatenate([near.sum(axis=1), near.sum(axis=0)])})
+
+    return count
+
+
+def _overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many grams each set of ``one`` shares with each set of ``two``; of a list with itself, the diagonal is too small."""
+    if one is two:
+        names, times = np.unique(np.concatenate(one), return_counts=True)
+        names = names[times > 1]
+    else:
+        names = np.intersect1d(np.concatenate(one), np.concatenate(two))
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        grams = np.concatenate(sets)
+        place = np.searchsorted(names, grams)
+        keep = place < len(names)
+        keep[keep] = names[place[keep]] == grams[keep]
+        owner, place = np.repeat(np.arange(len(sets)), [len(g) for g in sets])[keep], place[keep]
+        order = np.argsort(place, kind="stable")
+        return owner[order], place[order]
+
+    def columns(owner: np.ndarray, place: np.ndarray, count: int, start: int) -> np.ndarray:
+        low, high = np.searchsorted(place, [start, start + COLUMNS_AT_ONCE])
+        part = np.zeros((count, min(COLUMNS_AT_ONCE, len(names) - start)), dtype=np.float32)
+        part[owner[low:high], place[low:high] - start] = 1.0
+        return part
+
+    both = np.zeros((len(one), len(two)), dtype=np.float32)
+    of_one = placed(one)
+    of_two = of_one if one is two else placed(two)
+    for start in range(0, len(names), COLUMNS_AT_ONCE):
+        left = columns(*of_one, len(one), start)
+        both += left @ (left if one is two else columns(*of_two, len(two), start)).T
+    return both
+
+
 def _block_pairs(entries: DataFrame) -> DataFrame:
     """Each bucket entry once for every pair of blocks that its own block is part of; small buckets are one block."""
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
@@ -379,7 +463,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """One row per row of ``docs``: id, class_id, n_links, copies (rows with the same text)."""
+    """One row per row of ``docs``: id, class_id, n_links (other distinct texts at the threshold), copies (rows with the same text)."""
     members, _ = jaccard_classes(docs, id_col, text, **settings)
     rows = docs.select(F.col(id_col).alias("id"), text_key(text).alias("key"))
     joined = rows.join(members.select("key", "class_id", "n_links", "copies"), "key")
@@ -388,7 +472,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the row with the smallest id (one of them, if rows repeat)."""
-    members, _ = jaccard_classes(docs, id_col, text, **settings)
+    members, _ = jaccard_classes(docs, id_col, text, counted=False, **settings)
     keepers = members.where(F.col("rep").eqNullSafe(F.col("class_id"))).groupBy("class_key").agg(
         F.min("key").alias("_key"), F.first("class_id").alias("_rep")
     )

@@ -149,6 +149,24 @@ def test_near_duplicates(spark, odd_docs):
     assert ngram_join.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 20])
+def test_link_counts_equal_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BUCKET_BLOCK", block)
+    draw, rows = random.Random(8), []
+    for group, size in enumerate([70, 40, 9, 3, 2, 1]):  # mutually near, then a chain, then small groups
+        words = [f"g{group}w{draw.randint(0, 400)}" for _ in range(150)]
+        for i in range(size):
+            some = words if group == 1 else list(words)
+            some[draw.randrange(150)] = f"v{i}"
+            rows.append((len(rows), " ".join(some)))
+    rows += [(len(rows), rows[0][1]), (len(rows) + 1, ""), (len(rows) + 2, " ")]
+    made = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["n_links"] for r in made.collect()}
+    sets = {t: set(ngram_join.shingles(t, 5).tolist()) for _, t in rows}
+    near = lambda x, y: x != y and sets[x] and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])
+    assert got == {i: sum(bool(near(t, u)) for u in sets) for i, t in rows}
+
+
 @pytest.mark.parametrize("piece", [1, 5, 1 << 20])
 def test_shingles_equal_plain_sets(monkeypatch, piece):
     monkeypatch.setattr(ngram_join, "PIECE", piece)
