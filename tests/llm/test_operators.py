@@ -211,6 +211,20 @@ def test_classifier_ranks_held_out_rows(spark):
     assert quality_classifier.score(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), model).count() == 2
 
 
+def test_classifier_cut_keeps_the_share_of_all_labels(spark):
+    draw = random.Random(9)
+    words = [["the", "of", "river", "stone", "walks", "and"], ["BUY!!", "##", "$$$", "now***"]]
+    mixed = lambda odd: " ".join(draw.choice(words[draw.random() < odd]) for _ in range(80))
+    rows = [(i, mixed(draw.uniform(0.0, 0.6)), 1) for i in range(540)] + [(540 + i, mixed(draw.uniform(0.3, 0.9)), 0) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(5000 + i, 0) for i in range(20)], "doc_id long, quality int")
+    shares = []
+    for most in (10_000, 120):  # all labelled rows, then the good ones thinned to about a fifth
+        model = quality_classifier.fit(docs, labels, max_rows=most)
+        shares.append(sum(1 - r["predicted"] for r in quality_classifier.score(docs, model).collect()) / len(rows))
+    assert abs(shares[0] - 0.1) < 0.01 and abs(shares[1] - 0.1) < 0.05
+
+
 def test_url_rules_and_reputation(spark):
     urls = ["HTTP://www.Example.com/en/1?x", "http://example.com/en/2", "http://a.net/fr/", "http://com", None, "no-url", "x://ok.org/a#b", "x://bad.org/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
