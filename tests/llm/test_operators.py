@@ -267,6 +267,19 @@ def test_license_inheritance(spark):
     assert got["r/c"] == (None, "none") and got[None] == (None, "none") and got["r/a/LICENSE"] == ("MIT", "own")
 
 
+def test_licences_in_full_texts_headers_and_long_lines(spark):
+    mit = next(t for n, t in licenses.TEXTS if n == "MIT").replace("(c)", "(c) 2024 Some Body\n\n").replace(". ", ".\n")
+    filler = " ".join(f"word{i}" for i in range(60))
+    files = [
+        ("m/LICENSE", mit), ("m/src/x", "plain"), ("n/terms", mit), ("n/x", "plain"), ("s/a", "# SPDX-License-Identifier: MIT\ncode"),
+        ("s/b", "// SPDX-License-Identifier: Apache-2.0"), ("s/c", "/* SPDX-License-Identifier: (mpl-2.0 OR Zlib) */"),
+        ("l/a", f"{filler} Licensed under the Apache License, Version 2.0."), ("l/b", f"{filler} your driving license is old. {filler}"),
+    ]
+    got = {r["path"]: (r["license"], r["origin"]) for r in licenses.license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["m/LICENSE"] == got["n/terms"] == got["s/a"] == ("MIT", "own") and got["m/src/x"] == got["n/x"] == ("MIT", "inherited")
+    assert got["s/b"] == got["l/a"] == ("Apache-2.0", "own") and got["s/c"] == ("mpl-2.0 OR Zlib", "own") and got["l/b"] == (None, "none")
+
+
 def test_digest_columns(spark):
     from countloom.llm.queries import op2_bpe_tree
 
