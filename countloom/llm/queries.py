@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countloom.llm import oracles
+from countloom.llm import oracles, toxicity
 from countloom.llm.bm25 import search
 from countloom.llm.bpe import encode_decode
 from countloom.llm.hilbert import hilbert_shards
@@ -16,9 +16,11 @@ from countloom.llm.host_reputation import filter_urls, url_parts
 from countloom.llm.licenses import license_scan
 from countloom.llm.mixing import in_training_order, mix
 from countloom.llm.ngram_join import near_duplicates
+from countloom.llm.periodic import find_runs, longest, repeated_tail
 from countloom.llm.quality_classifier import fit, score
 from countloom.llm.quality_rules import quality_rules
 from countloom.llm.token_counts import token_counts
+from countloom.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +96,46 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out), threshold=0.7)
+    made = toxicity.score(docs.select("doc_id", "text"), model)
+    return made.select("doc_id", held_out.alias("held_out"), "score", "predicted", "segments")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of whole texts, a tenth of which get a periodic tail by their id."""
+    made = find_runs(repeated_tail(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    made = made.withColumn("best", longest(F.col("runs")))
+    return made.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each vector and component."""
+    made = whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+    made = made.select("*", F.posexplode("whitened").alias("at", "value"))
+    return made.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        F.col("deviation").cast("bigint").alias("deviation"),
+        F.col("value").alias("whitened"),
+        F.get("explained", F.col("at")).alias("explained"),
+        "identity_error",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,7 +146,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bm25_search, op2_bpe_tree, op3_hilbert_shards, op4_license_scan, op5_ngram_join, op6_quality_classifier,
-        op7_mixing, op8_host_reputation, op9_token_counts, op10_quality_rules, pipeline,
+        op7_mixing, op8_host_reputation, op9_token_counts, op10_quality_rules,
+        op11_toxic_segments, op12_periodic_runs, op13_embedding_whitening, pipeline,
     )
 }
 ORACLES: dict[str, str] = oracles.SQL
