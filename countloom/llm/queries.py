@@ -66,7 +66,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = fit(docs, labels.where(~held_out), threshold=0.3)
     return score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
