@@ -37,7 +37,7 @@ from countloom.llm import vocab
 from countloom.llm.ship import ship
 
 LEAF = 32_768
-CACHE_SIZE = 400_000
+CACHE_SIZE = 150_000
 #: Words above this length are joined from the tokens of their parts; shorter ones are encoded at once.
 LONG_WORD = 512
 #: No rule of a splitting pattern looks further ahead than this.
@@ -272,8 +272,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     """
     spark = docs.sparkSession
     ship(spark)
-    content = vocab.broadcast_file(spark, path)
-    quick = vocab.agrees(content.value)
+    content, quick = vocab.broadcast_file(spark, path)
     key = uuid.uuid4().hex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]

@@ -5,10 +5,13 @@ A vocabulary has a fixed size of a few megabytes; ``MAX_BYTES`` checks it.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import multiprocessing
 import re
 
 import regex
+import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
@@ -17,12 +20,45 @@ MAX_BYTES = 64_000_000
 #: Fixed value: the pattern that splits a text before the merges of byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
+#: One broadcast and one check for each application and content; nothing is sent or checked twice.
+_files: dict[tuple[str, str], tuple[Broadcast, bool]] = {}
+
+
+def broadcast_file(spark: SparkSession, path: str) -> tuple[Broadcast, bool]:
+    """The broadcast bytes of the file, and whether the quick encoder agrees with it.
+
+    The check builds tokenizers of the whole vocabulary; it runs in a task of one
+    row and there in a process of its own, so that neither the driver nor a worker keeps them.
+    """
     with open(path, "rb") as f:
         content = f.read(MAX_BYTES + 1)
     if len(content) > MAX_BYTES:
         raise ValueError(f"{path}: above {MAX_BYTES} bytes, too large to broadcast as a vocabulary")
-    return spark.sparkContext.broadcast(content)
+    key = spark.sparkContext.applicationId, hashlib.sha256(content).hexdigest()
+    if key not in _files:
+        shared = spark.sparkContext.broadcast(content)
+
+        def check(batches):
+            for batch in batches:
+                yield pd.DataFrame({"fine": [_apart(agrees, shared.value) for _ in batch["id"]]})
+
+        _files[key] = shared, bool(spark.range(1).mapInPandas(check, "fine boolean").first()["fine"])
+    return _files[key]
+
+
+def _apart(work, content: bytes):
+    """work(content) in a child process, whose memory goes back when it ends; here if the child gives no answer."""
+    context = multiprocessing.get_context("fork")
+    mine, other = context.Pipe(duplex=False)
+    child = context.Process(target=lambda: other.send(work(content)))
+    child.start()
+    other.close()
+    try:
+        return mine.recv()
+    except EOFError:
+        return work(content)
+    finally:
+        child.join()
 
 
 def tokenizer(content: bytes, **changes):
