@@ -290,3 +290,22 @@ def test_digest_columns(spark):
         ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_classifier_without_both_kinds(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 1), (5, 1)], "doc_id long, quality int")
+    for docs, some, want in ((odd_docs, labels.limit(0), 1), (odd_docs, labels, 1), (odd_docs, labels.selectExpr("doc_id", "0 quality"), 0), (odd_docs.limit(0), labels, 1)):
+        model = quality_classifier.fit(docs, some)
+        assert {r["predicted"] for r in quality_classifier.score(odd_docs, model).collect()} == {want}
+        assert quality_classifier.score(odd_docs.limit(0), model).count() == 0
+
+
+def test_bm25_odd_rows_and_ties(spark, odd_docs):
+    queries = spark.createDataFrame([(1, "t7 t9"), (2, None), (None, "t1"), (3, " "), (4, "nothing-like-it")], "query_id long, query_text string")
+    rows = bm25.search(odd_docs, queries, 3).collect()
+    assert {r["query_id"] for r in rows} == {1}
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["rank"])] == [5, 6, 7]
+    assert bm25.search(odd_docs.limit(0), queries, 3).count() == 0 and bm25.search(odd_docs, queries.limit(0), 3).count() == 0
+    same = spark.createDataFrame([(i, "a b c") for i in range(40)], "doc_id long, text string")
+    tied = bm25.search(same, queries.selectExpr("1L query_id", "'a b' query_text").limit(1), 5, shard_rows=7).collect()
+    assert sorted(r["doc_id"] for r in tied) == [0, 1, 2, 3, 4]
