@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countloom.functions.missing import bool_text, is_missing
+from countloom.functions.missing import bool_text, is_missing, is_true
 from countloom.functions.text import joined_or, kept
 from countloom.operators.testing import two_group_test
 from countloom.session import reuse
@@ -152,3 +152,47 @@ def preparation_issues(cells: DataFrame, ontology: DataFrame) -> DataFrame:
         "dataset_id", F.lit("author_label_unmapped").alias("problem"), F.col("author_label").alias("value"), F.lit(1).cast("bigint").alias("rows")
     )
     return subject.unionByName(label).unionByName(free)
+
+
+def contrast_tests(
+    counts: DataFrame, metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk"
+) -> tuple[DataFrame, DataFrame]:
+    """(effects, status) of every enabled contrast and cell type at once.
+
+    A cell type is tested where both sides have the larger of ``min_subjects`` and the
+    contrast's own minimum of subjects, in the datasets at hand taken together;
+    ``status`` has one row per contrast and cell type with that minimum.  Each unit is
+    copied once for every contrast that names its group, and all tests share one pass.
+    """
+    on = contrasts.where(is_true("enabled") & (F.col("data_scope") == scope)).select(
+        "contrast_id", "numerator", "denominator",
+        F.greatest(F.coalesce(F.col("min_replicates_per_group").try_cast("int"), F.lit(1)), F.lit(min_subjects)).alias("minimum"),
+    )
+    good = eligible(metadata).select(*UNIT, "total_UMI")
+    sided = good.join(on, F.col("group").isin(F.col("numerator"), F.col("denominator"))).withColumn(
+        "side", F.when(F.col("group") == F.col("numerator"), F.lit("up")).otherwise(F.lit("down"))
+    )
+    sided = reuse(sided)
+    keys = ["contrast_id", "cell_type"]
+    of = lambda side: F.count_distinct(F.when(F.col("side") == side, F.concat_ws("|", "dataset_id", "subject_id")))
+    sides = sided.groupBy(*keys, "minimum").agg(of("up").alias("numerator_subjects"), of("down").alias("denominator_subjects"))
+    types = good.select("cell_type").distinct()
+    grid = on.select("contrast_id", "minimum").join(types.withColumn("_all", F.lit(True)), F.col("_all"))  # contrasts x cell types
+    seen = ["numerator_subjects", "denominator_subjects"]
+    status = grid.drop("_all").join(sides.drop("minimum"), keys, "left").na.fill(0, seen)
+    enough = (F.col("numerator_subjects") >= F.col("minimum")) & (F.col("denominator_subjects") >= F.col("minimum"))
+    status = status.select(
+        *keys, F.when(enough, F.lit("tested")).otherwise(F.lit("skipped_insufficient_subjects")).alias("status"),
+        F.col("minimum").alias("minimum_subjects_per_group"), *seen,
+    )
+    tested = sided.join(status.where(F.col("status") == "tested").select(*keys), keys, "left_semi")
+    unit = F.concat_ws("|", "dataset_id", "subject_id", "group", "cell_type")
+    mean = tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean"))
+    units = tested.join(mean, keys).select(*keys, *[c for c in UNIT if c != "cell_type"], unit.alias("sample_id"), "side", "total_UMI", "_mean")
+    rows = counts.select(*UNIT, "gene_id", "count").join(units, UNIT)
+    scaled = rows.select(
+        *keys, F.lit("all").alias("dataset_id"), F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), "gene_id", "count",
+        (F.col("count") / F.col("total_UMI") * F.col("_mean")).alias("normalized"),
+    )
+    about = units.select(F.lit("all").alias("dataset_id"), F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), F.col("side").alias("group"))
+    return two_group_test(scaled, about, "up", "down", keys, normalized=True), status

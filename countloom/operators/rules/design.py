@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countloom.functions.missing import is_missing, is_true, present, to_number
 from countloom.functions.text import looks_like_barcode
-from countloom.operators.pairwise import gram
+from countloom.operators.designs import fit_designs, formula_terms, variables_of
 from countloom.operators.rules.issues import issue, listed, passed, union, when_empty
 from countloom.operators.rules.manifest import active
 from countloom.session import reuse
@@ -264,8 +262,8 @@ METRIC_COLUMNS = ("design_formula", "n_rows", "n_columns", "rank", "full_rank")
 def validate_design(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, max_missing: float = 0.2) -> DataFrame:
     """Missing and constant covariates, and the rank of each contrast's design.
 
-    Designs of all contrasts are coded as one sparse long matrix; only the
-    columns x columns products of each contrast reach one task.
+    Formulas may hold products (``:``, ``*``), ``C()`` and ``- 1``; see
+    ``operators.designs``, which codes all designs as one sparse long matrix.
     """
     columns = [*samples.columns, *([] if "dataset" in samples.columns else ["dataset"])]
     samples = reuse(samples)
@@ -285,22 +283,13 @@ def validate_design(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, m
         F.count(F.when(~missing, to_number("value"))).alias("numbers"),
     )
     share = F.col("gone") / F.col("n")
-    usable = rows.where(F.forall("vars", lambda v: ~is_missing(F.try_element_at(F.col("_values"), v))))
-    kept = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    coded = long.join(usable.select(*keys, "row"), [*keys, "row"], "left_semi")
-    # Only age is ever numeric, and only when every value parses; the first level is the baseline.
-    base = coded.groupBy(*keys, "variable").agg(F.min("value").alias("base"), (F.count(to_number("value")) == F.count(F.lit(1))).alias("numeric"))
-    coded = coded.join(base, [*keys, "variable"])
-    number = (F.col("variable") == "age") & F.col("numeric")
-    cells = coded.where(number | (F.col("value") != F.col("base"))).select(
-        *keys, "row", F.when(number, F.col("variable")).otherwise(F.concat_ws("=", "variable", "value")).alias("column"), F.when(number, to_number("value")).otherwise(F.lit(1.0)).alias("x")
-    )
-    one = usable.select(*keys, "row", F.lit("Intercept").alias("column"), F.lit(1.0).alias("x"))
-    products = gram(cells.unionByName(one), keys, "row", "column", "x")
-    ranks = products.groupBy(*keys).applyInPandas(_rank, "analysis_id string, contrast_id string, n_columns int, rank int")
-    terms = about.select(*keys, "formula", F.explode(F.split(F.regexp_replace("formula", "~", "+"), r"\+")).alias("term")).select(*keys, "formula", F.trim("term").alias("term"))
-    invalid = terms.where(~F.col("term").isin("", "0", "1", *columns)).select(*keys, "formula").distinct()
-    fitted = sizes.join(kept, keys, "left").join(ranks, keys, "left").na.fill(0, ["n_rows", "n_columns", "rank"]).join(invalid.select(*keys), keys, "left_anti").withColumn("full", F.col("rank") == F.col("n_columns"))
+    known = F.array(*[F.lit(c) for c in columns])
+    unknown = F.size(F.array_except(variables_of(F.col("terms")), known)) > 0
+    termed = about.withColumn("terms", formula_terms("formula"))
+    invalid = termed.where(F.col("terms").isNull() | F.coalesce(unknown, F.lit(False))).select(*keys, "formula").distinct()
+    valid = termed.join(invalid.select(*keys), keys, "left_anti").select(*keys, "terms")
+    fits = fit_designs(rows.select(*keys, "row", F.col("_values").alias("values")).join(valid, keys), keys)
+    fitted = sizes.join(fits, keys).withColumnRenamed("full_rank", "full")
     contrast = {k: k for k in keys}
     wrong_subset = on.where(present("subset_column") & ~F.col("subset_column").isin(*columns)).withColumn("formula", formula)
     nothing = on.withColumn("formula", formula).join(wrong_subset.select(*keys), keys, "left_anti").join(sizes.select(*keys), keys, "left_anti")
@@ -329,16 +318,6 @@ def validate_design(samples: DataFrame, contrasts: DataFrame, plan: DataFrame, m
     return union(parts)
 
 
-def _rank(key: tuple, pairs: pd.DataFrame) -> pd.DataFrame:
-    names = {n: i for i, n in enumerate(sorted(set(pairs["col_i"]) | set(pairs["col_j"])))}
-    matrix = np.zeros((len(names), len(names)))
-    i, j = pairs["col_i"].map(names).to_numpy(), pairs["col_j"].map(names).to_numpy()
-    matrix[i, j] = matrix[j, i] = pairs["dot"].to_numpy()
-    scale = np.sqrt(np.clip(np.diag(matrix), 1e-300, None))
-    rank = int(np.linalg.matrix_rank(matrix / np.outer(scale, scale), tol=1e-10, hermitian=True))
-    return pd.DataFrame({"analysis_id": [key[0]], "contrast_id": [key[1]], "n_columns": [len(names)], "rank": [rank]})
-
-
 def joint_preflight(samples: DataFrame, plan: DataFrame, contrasts: DataFrame, compatibility: DataFrame, gene_check: DataFrame, dominance: float = 0.8) -> DataFrame:
     """Gates before datasets are modelled together; one set of rows per analysis.
 
@@ -374,18 +353,41 @@ def joint_preflight(samples: DataFrame, plan: DataFrame, contrasts: DataFrame, c
 
 
 def pseudobulk_preflight(metadata: DataFrame, plan: DataFrame, contrasts: DataFrame, minimum: int = 2) -> DataFrame:
-    """Joint pseudobulk gates: confounding, subjects per dataset, design per cell type."""
+    """Joint pseudobulk gates: confounding, subjects per dataset, and the design of every contrast and cell type.
+
+    The design is the contrast's own formula (``~ group`` where it has none) over
+    the eligible units of the cell type: a formula that makes no sense or names an
+    unknown column, units dropped for a missing value and a design of less than
+    full rank are problems of their own.  A cell type without a unit on either side is passed over.
+    """
     used = plan.where(is_true("include")).select("analysis_id", "dataset_id").distinct()
-    on = enabled(contrasts, ("scrna_pseudobulk",)).select("analysis_id", "contrast_id", "numerator", "denominator")
+    formula = F.when(present("design_formula"), F.col("design_formula")).otherwise(F.lit("~ group"))
+    on = enabled(contrasts, ("scrna_pseudobulk",)).select("analysis_id", "contrast_id", "numerator", "denominator", formula.alias("formula"))
     rows = metadata.join(used, "dataset_id").join(on, "analysis_id")
     keys = ["analysis_id", "contrast_id"]
-    tied = confounded(rows, keys).select(*keys, F.lit("NA").alias("dataset_id"), F.lit("NA").alias("cell_type"), F.lit("dataset_group_complete_confounding").alias("problem"))
+
+    def problem(df: DataFrame, text: str | Column, dataset: str | None = None, cell_type: str | None = None) -> DataFrame:
+        name = lambda c: F.col(c) if c else F.lit("NA")
+        text = text if isinstance(text, Column) else F.lit(text)
+        return df.select(*keys, name(dataset).alias("dataset_id"), name(cell_type).alias("cell_type"), text.alias("problem"))
+
+    tied = problem(confounded(rows, keys), "dataset_group_complete_confounding")
     grid = used.join(on, "analysis_id").select(*keys, "dataset_id", F.explode(F.array("numerator", "denominator")).alias("group"))
     counts = rows.groupBy(*keys, "dataset_id", "group").agg(F.count_distinct("subject_id").alias("_n"))
-    weak = grid.join(counts, [*keys, "dataset_id", "group"], "left").withColumn("_n", F.coalesce("_n", F.lit(0))).where(F.col("_n") < minimum).select(
-        *keys, "dataset_id", F.lit("NA").alias("cell_type"), F.format_string(f"insufficient_subjects:%s:%d<{minimum}", "group", "_n").alias("problem")
-    )
-    sided = rows.where(F.col("group").isin(F.col("numerator"), F.col("denominator")))
-    flat = sided.groupBy(*keys, "cell_type").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi"), F.count_if(is_missing("group")).alias("_gone"))
-    rank = flat.where(F.col("_lo") == F.col("_hi")).select(*keys, F.lit("NA").alias("dataset_id"), "cell_type", F.lit("design_matrix_not_full_rank").alias("problem"))
-    return union([tied, weak, rank])
+    weak = grid.join(counts, [*keys, "dataset_id", "group"], "left").withColumn("_n", F.coalesce("_n", F.lit(0))).where(F.col("_n") < minimum)
+    weak = problem(weak, F.format_string(f"insufficient_subjects:%s:%d<{minimum}", "group", "_n"), "dataset_id")
+    columns = [*metadata.columns, *([] if "dataset" in metadata.columns else ["dataset"])]
+    known = metadata if "dataset" in metadata.columns else metadata.withColumn("dataset", F.col("dataset_id"))
+    sided = known.withColumn("_values", _values(columns)).join(used, "dataset_id").join(on, "analysis_id")
+    sided = sided.where(F.col("group").isin(F.col("numerator"), F.col("denominator")))
+    terms = on.select(*keys, formula_terms("formula").alias("terms"))
+    unknown = F.size(F.array_except(variables_of(F.col("terms")), F.array(*[F.lit(c) for c in columns]))) > 0
+    valid = terms.where(F.col("terms").isNotNull() & ~unknown)
+    types = sided.select(*keys, "cell_type").distinct()
+    invalid = problem(types.join(valid.select(*keys), keys, "left_anti"), "design_invalid", cell_type="cell_type")
+    unit = F.concat_ws("|", "dataset_id", "subject_id", "group", "cell_type")
+    fits = fit_designs(sided.select(*keys, "cell_type", unit.alias("row"), F.col("_values").alias("values")).join(valid, keys), [*keys, "cell_type"])
+    fits = reuse(fits)
+    dropped = problem(fits.where(F.col("n_rows") < F.col("n_samples")), "design_rows_dropped", cell_type="cell_type")
+    rank = problem(fits.where(~F.col("full_rank")), "design_matrix_not_full_rank", cell_type="cell_type")
+    return union([tied, weak, invalid, dropped, rank])

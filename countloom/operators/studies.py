@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from countloom.functions.missing import is_true
 from countloom.operators import joins, meta
 from countloom.operators.compat import strategy_of
-from countloom.operators.rules.design import enabled, joint_preflight
+from countloom.operators.pseudobulk import eligible
+from countloom.operators.rules.design import enabled, joint_preflight, pseudobulk_preflight
 from countloom.operators.rules.issues import blocking
 
 
@@ -85,6 +86,44 @@ def joint_dataset(
     return inside, samples.join(datasets.select("dataset_id"), "dataset_id", "left_semi").withColumn("dataset", F.col("dataset_id")), issues
 
 
+def joint_pseudobulk(
+    counts: DataFrame, metadata: DataFrame, genes: DataFrame, plan: DataFrame, contrasts: DataFrame, analysis_id: str, minimum: int = 2
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stacked counts, eligible units, preflight problems) of one joint single-cell analysis.
+
+    The gates come first: the analysis must be planned as a joint model of two
+    datasets or more without validation data, with an enabled pseudobulk contrast,
+    and every dataset must list the same genes (``genes``: dataset_id, gene_id) and count none beside them.  Any problem of the preflight stops
+    the build as well.  Units keep their dataset, so ``dataset`` may enter a formula;
+    units without any count stay, as their zeros are data.
+    """
+    if strategy_of(plan, analysis_id) != "joint_model":
+        raise RuntimeError(f"{analysis_id} is not planned as joint_model")
+    datasets = _datasets(plan, analysis_id)
+    if datasets.limit(2).count() < 2:
+        raise RuntimeError(f"{analysis_id}: a joint model needs several datasets")
+    if _datasets(plan, analysis_id, "validation").limit(1).count():
+        raise RuntimeError(f"{analysis_id}: validation datasets may not enter the joint model")
+    on = contrasts.where(F.col("analysis_id") == analysis_id)
+    if enabled(on, ("scrna_pseudobulk",)).limit(1).count() == 0:
+        raise RuntimeError(f"{analysis_id} has no enabled scrna_pseudobulk contrast")
+    chosen = datasets.select("dataset_id")
+    inside = counts.join(chosen, "dataset_id", "left_semi")
+    # Which dataset lacks a gene that another one lists, or counts an unlisted one; one row is enough to refuse.
+    spaces = genes.join(chosen, "dataset_id", "left_semi").select("dataset_id", "gene_id").distinct()
+    held = spaces.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < datasets.count())
+    gap = held.select("gene_id").unionByName(inside.join(spaces, ["dataset_id", "gene_id"], "left_anti").select("gene_id")).orderBy("gene_id").first()
+    if gap is not None:
+        raise RuntimeError(f"{analysis_id}: gene ids differ across datasets, first at {gap['gene_id']}")
+    units = eligible(metadata.join(chosen, "dataset_id", "left_semi"))
+    problems = pseudobulk_preflight(units, plan.where(F.col("analysis_id") == analysis_id), on, minimum)
+    first = problems.orderBy("contrast_id", "dataset_id", "cell_type", "problem").first()
+    if first is not None:
+        raise RuntimeError(f"{analysis_id} fails its preflight: {first['contrast_id']}:{first['dataset_id']}:{first['cell_type']}:{first['problem']}")
+    unit = ["dataset_id", "subject_id", "group", "cell_type"]
+    return inside.join(units.select(*unit), unit, "left_semi"), units.withColumn("dataset", F.col("dataset_id")), problems
+
+
 def independent_status(plan: DataFrame) -> DataFrame:
     """One row per dataset that is only analysed on its own."""
     return plan.where(is_true("include") & (F.col("analysis_strategy") == "independent_only")).select("analysis_id", "dataset_id", F.lit("independent_only").alias("status"))

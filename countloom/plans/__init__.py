@@ -6,7 +6,7 @@ from importlib import import_module
 
 from countloom.plans.registry import Registry
 
-GROUPS = ("bulk", "cell", "integration", "meta", "metadata", "rule", "source", "stats")
+GROUPS = ("bulk", "cell", "design", "integration", "meta", "metadata", "rule", "source", "stats")
 
 
 def all_queries() -> Registry:

@@ -284,8 +284,10 @@ queries.add("plan_expansion", lambda v: J.expand_contrasts(reviewed(v, "plan").s
             sql("", "SELECT p.analysis_id, p.dataset_id, p.include, coalesce(contrast_id, 'NA') AS contrast_id, coalesce(numerator, 'case') AS numerator, coalesce(denominator, 'control') AS denominator FROM plan p LEFT JOIN (SELECT * FROM contrasts WHERE enabled = 'true' AND data_scope = 'bulk') c USING (analysis_id) WHERE p.include = 'true'", **ctes("plan contrasts")))
 queries.add(
     "pseudobulk_preflight",
-    lambda v: D.pseudobulk_preflight(v.cells().select("dataset_id", "subject_id", "group", F.col("author_label").alias("cell_type")), reviewed(v, "plan"), reviewed(v, "contrasts"), 140).select("analysis_id", "contrast_id", "dataset_id", "problem"),
-    sql("cells", """SELECT p.analysis_id, contrast_id, p.dataset_id, 'insufficient_subjects:' || c.g || ':' || coalesce(n, 0) || '<140' AS problem FROM (SELECT DISTINCT analysis_id, dataset_id FROM plan WHERE include = 'true') p
+    lambda v: D.pseudobulk_preflight(v.cells().select("dataset_id", "subject_id", "group", F.col("author_label").alias("cell_type")), reviewed(v, "plan"), reviewed(v, "contrasts"), 140).select("analysis_id", "contrast_id", "dataset_id", "cell_type", "problem"),
+    sql("cells", """SELECT p.analysis_id, contrast_id, p.dataset_id, 'NA' AS cell_type, 'insufficient_subjects:' || c.g || ':' || coalesce(n, 0) || '<140' AS problem FROM (SELECT DISTINCT analysis_id, dataset_id FROM plan WHERE include = 'true') p
         JOIN (SELECT analysis_id, contrast_id, unnest([numerator, denominator]) AS g FROM contrasts WHERE enabled = 'true' AND data_scope = 'scrna_pseudobulk') c USING (analysis_id)
-        LEFT JOIN (SELECT dataset_id, "group" AS g, count(DISTINCT subject_id) AS n FROM cells GROUP BY ALL) s ON s.dataset_id = p.dataset_id AND s.g = c.g WHERE coalesce(n, 0) < 140""", **ctes("plan contrasts")),
+        LEFT JOIN (SELECT dataset_id, "group" AS g, count(DISTINCT subject_id) AS n FROM cells GROUP BY ALL) s ON s.dataset_id = p.dataset_id AND s.g = c.g WHERE coalesce(n, 0) < 140
+        UNION ALL SELECT DISTINCT c.analysis_id, contrast_id, 'NA', author_label, 'design_invalid' FROM contrasts c JOIN plan p USING (analysis_id) JOIN cells USING (dataset_id)
+        WHERE c.enabled = 'true' AND data_scope = 'scrna_pseudobulk' AND p.include = 'true' AND "group" IN (numerator, denominator)""", **ctes("plan contrasts")),
 )
