@@ -55,9 +55,9 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of a tree source/lang/hundred/id."""
     docs = _table(spark, sf_dir, "documents")
     folder = F.floor(F.col("doc_id") / 100).cast("string")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), folder, F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), folder, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     found = license_scan(docs.select(path.alias("path"), "text"))
-    return found.select(F.substring_index("path", "/", -1).cast("bigint").alias("doc_id"), "path", "license", "cosine", "origin", "from_path")
+    return found.select(F.substring_index("path", "/", -1).try_cast("bigint").alias("doc_id"), "path", "license", "cosine", "origin", "from_path")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,3 +258,9 @@ def test_many_spectra_join_in_packs(spark):
     table = spark.createDataFrame([(v.astype(int).tolist(),) for v in x], "_x array<long>").repartition(37)
     total = whitening.combine(whitening.spectra(table), fan=3)
     assert total.n == 120 and np.allclose((total.vectors * total.values) @ total.vectors.T, scatter(x))
+
+
+def test_license_query_without_id(spark, odd_docs, tmp_path):
+    odd_docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    ids = [r["doc_id"] for r in queries.op4_license_scan(spark, str(tmp_path)).collect()]
+    assert None in ids and {1, 2, 4, 5, 6, 7, 8, 9, 10} <= set(ids)
