@@ -202,9 +202,9 @@ def extreme_values(scores: dict[float, int], best: list[tuple[int, float]]) -> t
         middle = (low + high) / 2
         low, high = (middle, high) if tail(middle) < 0 else (low, middle)
     rate = high
-    # A Gumbel variable with location (ln K n) / lambda has its mean 0.5772 / lambda higher.
+    # K is at most 1.  A Gumbel variable with location (ln K n) / lambda has its mean 0.5772 / lambda higher.
     shifted = [rate * s - math.log(n) for n, s in best if n > 0 and s > 0]
-    size = math.exp(min(max(float(np.mean(shifted)) - 0.5772156649, -30.0), 5.0)) if shifted else math.exp(-5.0)
+    size = math.exp(min(max(float(np.mean(shifted)) - 0.5772156649, -30.0), 0.0)) if shifted else math.exp(-5.0)
     return rate, size
 
 
