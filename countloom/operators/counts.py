@@ -215,26 +215,43 @@ def median_normalize(counts: DataFrame) -> DataFrame:
 
 
 def size_factors(counts: DataFrame) -> DataFrame:
-    """Median over genes of count / geometric mean; genes with any zero are skipped."""
+    """Median over genes of count / geometric mean, with the way each factor was found.
+
+    ``complete``: genes with any zero are skipped.  A dataset in which no gene is
+    free of zeros takes ``positive`` instead: zeros count nothing in a gene's mean
+    log, only positive counts enter the median, and the factors of the dataset
+    are scaled to a geometric mean of one.  A sample without a positive count has
+    the factor null and ``not_estimable``, so no sample is lost.
+    """
     positive = counts.where(F.col("count") > 0)
-    samples = counts.select(*SAMPLE).distinct().groupBy("dataset_id").agg(F.count(F.lit(1)).alias("_n"))
+    listed = counts.select(*SAMPLE).distinct()
+    samples = listed.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("_n"))
     gene = (
         positive.groupBy("dataset_id", "gene_id")
-        .agg(F.avg(F.log("count")).alias("_mean_log"), F.count(F.lit(1)).alias("_present"))
+        .agg(F.sum(F.log("count")).alias("_logs"), F.count(F.lit(1)).alias("_present"))
         .join(samples, "dataset_id")
-        .where(F.col("_present") == F.col("_n"))
-        .select("dataset_id", "gene_id", "_mean_log")
+        .withColumn("_whole", F.col("_present") == F.col("_n"))
     )
-    # Only genes without a zero are left, so this table is small beside the counts.
+    gene = reuse(gene)
+    kind = gene.groupBy("dataset_id").agg(F.max("_whole").alias("_complete"))
+    used = gene.join(kind, "dataset_id").where(F.col("_whole") | ~F.col("_complete"))
+    used = used.select("dataset_id", "gene_id", "_complete", (F.col("_logs") / F.col("_n")).alias("_mean_log"))
+    # Small beside the counts where genes are complete; else one number for each positive count.
     ratios = reuse(
-        positive.join(gene, ["dataset_id", "gene_id"]).select(*SAMPLE, (F.log("count") - F.col("_mean_log")).alias("_ratio"))
+        positive.join(used, ["dataset_id", "gene_id"]).select(*SAMPLE, (F.log("count") - F.col("_mean_log")).alias("_ratio"))
     )
-    middle = quantiles(ratios, "_ratio", SAMPLE, {"_m": 0.5})
-    return reuse(middle.select(*SAMPLE, F.exp("_m").alias("size_factor")))
+    middle = reuse(quantiles(ratios, "_ratio", SAMPLE, {"_m": 0.5}).select(*SAMPLE, "_m"))
+    centre = middle.join(kind, "dataset_id").groupBy("dataset_id", "_complete").agg(F.avg("_m").alias("_centre"))
+    log = F.col("_m") - F.when(F.col("_complete"), F.lit(0.0)).otherwise(F.col("_centre"))
+    way = F.when(F.col("_m").isNull(), F.lit("not_estimable")).when(F.col("_complete"), F.lit("complete")).otherwise(F.lit("positive"))
+    out = listed.join(middle, SAMPLE, "left").join(centre, "dataset_id", "left")
+    return reuse(out.select(*SAMPLE, F.exp(log).alias("size_factor"), way.alias("size_method")))
 
 
 def size_normalize(counts: DataFrame) -> DataFrame:
-    return counts.join(size_factors(counts), SAMPLE).withColumn("normalized", F.col("count") / F.col("size_factor"))
+    """Counts by size factor; a sample without one keeps its rows, with null ``normalized``."""
+    factors = size_factors(counts).drop("size_method")
+    return counts.join(factors, SAMPLE).withColumn("normalized", F.col("count") / F.col("size_factor"))
 
 
 def top_variance_genes(expression: DataFrame, value: str, n: int, by: Sequence[str] = ("dataset_id",)) -> DataFrame:

@@ -42,7 +42,7 @@ def two_group_test(
         factor = F.col("count") / F.col("normalized")
         per_sample = scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))
     else:
-        factors = size_factors(chosen)
+        factors = size_factors(chosen).drop("size_method")
         scaled = chosen.join(factors, SAMPLE).withColumn("normalized", F.col("count") / F.col("size_factor"))
         per_sample = about.join(factors, SAMPLE).withColumnRenamed("size_factor", "f")
     up, down = F.col("group") == numerator, F.col("group") == denominator

@@ -93,9 +93,16 @@ SIZE = {
 }
 queries.add(
     "size_factors",
-    lambda v: rounded(C.size_factors(v.counts("nation")), "size_factor"),
+    lambda v: rounded(C.size_factors(v.counts("nation")), "size_factor").drop("size_method"),
     sql("counts_nation", "SELECT dataset_id, sample_id, round(size_factor, 6) AS size_factor FROM sf", **SIZE),
 )
+# No part is shipped from every nation of a region in every year, so the factors come from positive counts.
+queries.add(
+    "size_factors_sparse",
+    lambda v: rounded(C.size_factors(v.counts("year")), "size_factor"),
+    sql("counts_year", """SELECT dataset_id, sample_id, round(exp(m - avg(m) OVER (PARTITION BY dataset_id)), 6) AS size_factor, 'positive' AS size_method FROM (SELECT dataset_id, sample_id, median(ln(count) - ml) AS m FROM counts_year
+        JOIN (SELECT dataset_id, gene_id, sum(ln(count)) / max(n) AS ml FROM counts_year JOIN (SELECT dataset_id, count(DISTINCT sample_id) AS n FROM counts_year GROUP BY 1) USING (dataset_id) WHERE count > 0 GROUP BY ALL) USING (dataset_id, gene_id) WHERE count > 0 GROUP BY ALL)"""),
+)
 queries.add(
     "size_normalize",
     lambda v: rounded(C.size_normalize(v.counts("nation")), "size_factor", "normalized"),
@@ -229,14 +236,14 @@ queries.add(
 )
 queries.add(
     "manifest_count_match",
-    # Suppliers registered in a nation, against suppliers that shipped in 1995: some sides miss.
+    # Every supplier, against the successor of every supplier that shipped: some sides miss.
     lambda v: J.match_samples(
         v.samples().select("dataset_id", "sample_id"),
-        v.lines().where(F.year("l_shipdate") == 1995).where(F.col("l_quantity") > 45).select("dataset_id", F.concat(F.lit("S"), "l_suppkey").alias("sample_id")).distinct(),
+        v.lines().select("dataset_id", F.concat(F.lit("S"), F.col("l_suppkey") + 1).alias("sample_id")).distinct(),
     ),
     sql("samples lines", """SELECT coalesce(a.dataset_id, b.dataset_id) AS dataset_id, coalesce(a.sample_id, b.sample_id) AS sample_id,
         CASE WHEN b.sample_id IS NULL THEN 'missing_in_matrix' WHEN a.sample_id IS NULL THEN 'extra_in_matrix' ELSE 'matched' END AS match_status
-        FROM samples a FULL JOIN (SELECT DISTINCT dataset_id, 'S' || l_suppkey AS sample_id FROM lines WHERE year(l_shipdate) = 1995 AND l_quantity > 45) b ON a.dataset_id = b.dataset_id AND a.sample_id = b.sample_id"""),
+        FROM samples a FULL JOIN (SELECT DISTINCT dataset_id, 'S' || (l_suppkey + 1) AS sample_id FROM lines) b ON a.dataset_id = b.dataset_id AND a.sample_id = b.sample_id"""),
 )
 queries.add(
     "gene_space_check",

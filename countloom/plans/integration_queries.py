@@ -30,7 +30,7 @@ def bulk(v: Views):
 
 
 def bulk_meta(v: Views):
-    return v.t("part").where("p_size % 2 = 0").select(F.concat(F.lit("G"), "p_partkey").alias("gene_id"), (F.col("p_size") - 25.5).alias("pooled_log2fc"), (F.col("p_size") / 1000.0).alias("meta_padj"))
+    return v.t("part").select(F.concat(F.lit("G"), "p_partkey").alias("gene_id"), (F.col("p_size") - 25.5).alias("pooled_log2fc"), (F.col("p_size") / 1000.0).alias("meta_padj"))
 
 
 def pb(v: Views):
@@ -41,7 +41,7 @@ def pb(v: Views):
 
 
 def pb_meta(v: Views):
-    return v.t("part").where("p_size % 3 = 0").select(F.concat(F.lit("G"), "p_partkey").alias("gene_id"), F.lit("1-URGENT").alias("cell_type"), (F.col("p_size") - 25.5).alias("pooled_log2fc"), (F.col("p_size") / 100.0).alias("meta_padj"))
+    return v.t("part").select(F.concat(F.lit("G"), "p_partkey").alias("gene_id"), F.lit("1-URGENT").alias("cell_type"), (F.col("p_size") - 25.5).alias("pooled_log2fc"), (F.col("p_size") / 100.0).alias("meta_padj"))
 
 
 def expression(v: Views):
@@ -50,12 +50,13 @@ def expression(v: Views):
 
 def tables(v: Views):
     e = expression(v)
-    avg = e.where("cell_type <> '5-LOW'").select("gene_id", "cell_type", F.col("mean_expression").alias("average_expression"))
+    avg = e.select("gene_id", "cell_type", F.col("mean_expression").alias("average_expression"))
     frac = e.select("gene_id", "cell_type", F.col("pct_expression").alias("expression_cell_fraction"))
     part = v.t("part")
     loo = part.select(F.concat(F.lit("CG"), "p_partkey").alias("gene_id"), F.when(F.col("p_size") % 5 == 0, F.lit("true")).otherwise(F.lit("false")).alias("dataset_driven"))
-    val = part.where("p_size % 4 <> 1").select(F.concat(F.lit("CG"), "p_partkey").alias("gene_id"), F.when(F.col("p_size") % 4 == 0, F.lit("replicated")).otherwise(F.lit("direction_mismatch")).alias("replication_status"))
-    return N.integrate(bulk(v), bulk_meta(v), pb(v), pb_meta(v), bulk(v).limit(0), avg, frac, loo, val, reviewed(v, "ontology"), mapping(v))
+    val = part.select(F.concat(F.lit("CG"), "p_partkey").alias("gene_id"), F.when(F.col("p_size") % 4 == 0, F.lit("replicated")).when(F.col("p_size") % 4 == 1, F.lit("not_available")).otherwise(F.lit("direction_mismatch")).alias("replication_status"))
+    markers = N.dominant_cell_type(e).select("gene_id", F.col("dominant_cell_type").alias("cell_type"), "pct_expression")
+    return N.integrate(bulk(v), bulk_meta(v), pb(v), pb_meta(v), markers, avg, frac, loo, val, reviewed(v, "ontology"), mapping(v))
 
 
 MAPPING = """SELECT 'G' || p_partkey AS o, 'CG' || p_partkey AS c, p_name AS s FROM part WHERE p_partkey % 7 <> 3 UNION ALL SELECT 'G' || p_partkey, 'CG' || p_partkey || 'b', p_name FROM part WHERE p_partkey % 7 <> 3 AND p_partkey % 10 = 0"""
@@ -63,11 +64,11 @@ MAPPED = "SELECT t.*, coalesce(c, t.gene_id) AS cg, coalesce(s, 'NA') AS sym, CA
 INT = {
     "gmap": MAPPING,
     "bulk0": """SELECT 'G' || l_partkey AS gene_id, dataset_id, log2((sum(CASE WHEN l_suppkey % 2 = 1 THEN l_quantity ELSE 0 END) + 1) / (sum(CASE WHEN l_suppkey % 2 = 0 THEN l_quantity ELSE 0 END) + 1)) AS effect, 1.0::double / (count(*) * count(*)) AS padj FROM lines GROUP BY l_partkey, dataset_id""",
-    "bm0": "SELECT 'G' || p_partkey AS gene_id, (p_size - 25.5)::double AS effect, p_size / 1000.0::double AS padj FROM part WHERE p_size % 2 = 0",
+    "bm0": "SELECT 'G' || p_partkey AS gene_id, (p_size - 25.5)::double AS effect, p_size / 1000.0::double AS padj FROM part",
     "pb0": """SELECT 'G' || l_partkey AS gene_id, dataset_id, o_orderpriority AS cell_type, log2((sum(CASE WHEN o_orderstatus = 'F' THEN l_quantity ELSE 0 END) + 1) / (sum(CASE WHEN o_orderstatus = 'O' THEN l_quantity ELSE 0 END) + 1)) AS effect, 1.0::double / (1 + count(*) * count(*) * count(*)) AS padj
         FROM lines JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey, dataset_id, o_orderpriority""",
-    "pm0": "SELECT 'G' || p_partkey AS gene_id, '1-URGENT' AS cell_type, (p_size - 25.5)::double AS effect, p_size / 100.0::double AS padj FROM part WHERE p_size % 3 = 0",
-    "ex0": "SELECT gene_id, author_label AS cell_type, avg(count) AS a, avg((count > 25)::int) AS f FROM cell_counts JOIN cells USING (cell_id) WHERE author_label <> '5-LOW' GROUP BY ALL",
+    "pm0": "SELECT 'G' || p_partkey AS gene_id, '1-URGENT' AS cell_type, (p_size - 25.5)::double AS effect, p_size / 100.0::double AS padj FROM part",
+    "ex0": "SELECT gene_id, author_label AS cell_type, avg(count) AS a, avg((count > 25)::int) AS f FROM cell_counts JOIN cells USING (cell_id) GROUP BY ALL",
     **{f"{n}m": MAPPED.format(f"{n}0") for n in ("bulk", "bm", "pb", "pm", "ex")},
     "bb": "SELECT cg, sym, effect, padj FROM (SELECT cg, sym, effect, padj, 0 AS o, dataset_id AS d FROM bulkm UNION ALL SELECT cg, sym, effect, padj, 1, 'NA' FROM bmm) QUALIFY row_number() OVER (PARTITION BY cg ORDER BY padj, o, d, effect) = 1",
     "pbb": "SELECT cg, cell_type, effect, padj FROM (SELECT cg, cell_type, effect, padj, 0 AS o, dataset_id AS d FROM pbm2 UNION ALL SELECT cg, cell_type, effect, padj, 1, 'NA' FROM pmm) QUALIFY row_number() OVER (PARTITION BY cg, cell_type ORDER BY padj, o, d, effect) = 1".replace("pbm2", "pbm"),
@@ -81,7 +82,7 @@ INT = {
     "sup": "SELECT cg, count(DISTINCT dataset_id) AS n FROM bulkm WHERE padj < 0.05 GROUP BY 1",
     "psup": "SELECT cg, count(DISTINCT dataset_id) AS n FROM pbm WHERE padj < 0.05 GROUP BY 1",
     "loo": "SELECT 'CG' || p_partkey AS cg, p_size % 5 = 0 AS drv FROM part",
-    "val": "SELECT 'CG' || p_partkey AS cg, CASE WHEN p_size % 4 = 0 THEN 'replicated' ELSE 'direction_mismatch' END AS rs FROM part WHERE p_size % 4 <> 1",
+    "val": "SELECT 'CG' || p_partkey AS cg, CASE p_size % 4 WHEN 0 THEN 'replicated' WHEN 1 THEN 'not_available' ELSE 'direction_mismatch' END AS rs FROM part",
     "amb": "SELECT DISTINCT cg FROM (SELECT cg, st FROM bulkm UNION ALL SELECT cg, st FROM pbm) WHERE st = 'ambiguous_one_to_many'",
     "g0": """SELECT u.cg, coalesce(bb.sym, esym, 'NA') AS sym, bb.effect AS be0, bb.padj AS bp0, coalesce(dom, 'missing') AS dom, coalesce(spec, 0.0) AS spec, bct, be, bp, mp, pmp, coalesce(sup.n, 0) AS bs, coalesce(psup.n, 0) AS ps,
         coalesce(drv, false) AS drv, coalesce(rs, 'not_available') AS rs, amb.cg IS NOT NULL AS am,
@@ -144,7 +145,7 @@ queries.add(
         FROM (SELECT cg, sym, dataset_id, 'bulk' AS modality, effect, padj FROM bulkm UNION ALL SELECT cg, sym, dataset_id, 'pseudobulk', effect, padj FROM pbm) t JOIN (SELECT cg, sign(be0) AS cs FROM g) USING (cg)"""),
 )
 queries.add("unmapped_genes", lambda v: tables(v)["unmapped_genes"].groupBy("original_gene_id", "reason").agg(F.count(F.lit(1)).alias("n")),
-            isql("SELECT gene_id AS original_gene_id, st AS reason, count(*) AS n FROM (SELECT gene_id, st FROM bulkm UNION ALL SELECT gene_id, st FROM bmm UNION ALL SELECT gene_id, st FROM pbm UNION ALL SELECT gene_id, st FROM pmm UNION ALL SELECT gene_id, st FROM exm UNION ALL (SELECT gene_id, st FROM (" + MAPPED.format("(SELECT gene_id FROM cell_counts JOIN cells USING (cell_id) GROUP BY gene_id, author_label)") + "))) WHERE st = 'ambiguous_one_to_many' GROUP BY ALL"))
+            isql("SELECT gene_id AS original_gene_id, st AS reason, count(*) AS n FROM (SELECT gene_id, st FROM bulkm UNION ALL SELECT gene_id, st FROM bmm UNION ALL SELECT gene_id, st FROM pbm UNION ALL SELECT gene_id, st FROM pmm UNION ALL SELECT gene_id, st FROM exm UNION ALL (SELECT gene_id, st FROM (" + MAPPED.format("(SELECT gene_id FROM cell_counts JOIN cells USING (cell_id) GROUP BY gene_id, author_label)") + ") UNION ALL SELECT gene_id, st FROM (" + MAPPED.format("(SELECT DISTINCT gene_id FROM cell_counts JOIN cells USING (cell_id))") + "))) WHERE st = 'ambiguous_one_to_many' GROUP BY ALL"))
 queries.add(
     "gene_mapper", lambda v: J.map_genes(bulk(v), mapping(v)).groupBy("mapping_status").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("canonical_gene_id").alias("genes")),
     isql("SELECT st AS mapping_status, count(*) AS rows, count(DISTINCT cg) AS genes FROM bulkm GROUP BY 1"),

@@ -110,9 +110,9 @@ queries.add(
 queries.add(
     "run_accessions",
     lambda v: M.run_rows(v.t("documents").select(F.concat(F.lit("GSM"), "doc_id").alias("gsm_accession"), F.lit("g").alias("gse_accession"), F.lit("human").alias("organism"), F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("SRX"), "doc_id", F.lit(";SRX"), F.col("doc_id") + 1)).alias("srx_accessions"), F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("x=SRX"), "doc_id")).alias("relation_raw")),
-                         v.t("events").where("event_id % 2 = 0").select(F.concat(F.lit("SRX"), "event_id").alias("Experiment"), F.concat(F.lit("SRR"), "event_id").alias("Run"), F.lit("RNA-Seq").alias("LibraryStrategy"), F.lit("T").alias("LibrarySource"), F.lit("NA").alias("LibraryLayout"), F.lit("").alias("ScientificName")))[1].groupBy("level", "event_code").agg(F.count(F.lit(1)).alias("n")),
+                         v.t("events").select(F.concat(F.lit("SRX"), F.col("user_id") * 2).alias("Experiment"), F.concat(F.lit("SRR"), "event_id").alias("Run"), F.lit("RNA-Seq").alias("LibraryStrategy"), F.lit("T").alias("LibrarySource"), F.lit("NA").alias("LibraryLayout"), F.lit("").alias("ScientificName")))[1].groupBy("level", "event_code").agg(F.count(F.lit(1)).alias("n")),
     """SELECT CASE WHEN k = 0 THEN 'WARNING' WHEN r THEN 'INFO' ELSE 'ERROR' END AS level, CASE WHEN k = 0 THEN 'NO_SRX_RELATION' WHEN r THEN 'SRA_RUNINFO_FETCH_COMPLETE' ELSE 'SRA_RUNINFO_FETCH_FAILED' END AS event_code, count(*) AS n FROM
-        (SELECT (doc_id % 3 > 0)::int AS k, x % 2 = 0 AND x IN (SELECT event_id FROM events) AS r FROM (SELECT doc_id, doc_id AS x FROM documents UNION ALL SELECT doc_id, doc_id + 1 FROM documents WHERE doc_id % 3 > 0)) GROUP BY ALL""",
+        (SELECT (doc_id % 3 > 0)::int AS k, x IN (SELECT user_id * 2 FROM events) AS r FROM (SELECT doc_id, doc_id AS x FROM documents UNION ALL SELECT doc_id, doc_id + 1 FROM documents WHERE doc_id % 3 > 0)) GROUP BY ALL""",
 )
 queries.add(
     "runs_to_samples", lambda v: J.join_runs(geo(v).select(F.col("gsm_accession").alias("gsm_id"), F.col("gsm_accession").alias("srx_id")), runs(v).select(F.col("gsm_accession").alias("srx_id"), F.col("srr_accession").alias("srr_id")))[0].select("gsm_id", "srr_id"),

@@ -250,9 +250,10 @@ def all_issues(v: Views):
 
 queries.add(
     "validation_gate",
-    lambda v: I.gate(plan_issues(v).unionByName(contrast_issues(v).where("severity <> 'critical'")).where("severity <> 'critical'"), reviewed(v, "plan")).select("analysis_id", "critical_issues", "error_issues", "blocked"),
-    sql("", """SELECT p.analysis_id, 0::bigint AS critical_issues, coalesce(n, 0)::bigint AS error_issues, coalesce(n, 0) > 0 AS blocked FROM (SELECT DISTINCT analysis_id FROM plan) p
-        LEFT JOIN (SELECT analysis_id, count(*) AS n FROM (SELECT * FROM plan_all UNION ALL SELECT * FROM all_rules) WHERE severity = 'error' AND status = 'fail' GROUP BY 1) USING (analysis_id)""", **ctes("manifest plan contrasts", **PLAN_RULES)),
+    lambda v: I.gate(plan_issues(v).unionByName(contrast_issues(v)), reviewed(v, "plan")).select("analysis_id", "critical_issues", "error_issues", "blocked"),
+    sql("", """SELECT p.analysis_id, c::bigint AS critical_issues, coalesce(n, 0)::bigint AS error_issues, c + coalesce(n, 0) > 0 AS blocked FROM (SELECT DISTINCT analysis_id FROM plan) p
+        LEFT JOIN (SELECT analysis_id, count(*) AS n FROM (SELECT * FROM plan_all UNION ALL SELECT * FROM all_rules) WHERE severity = 'error' AND status = 'fail' GROUP BY 1) USING (analysis_id)
+        CROSS JOIN (SELECT count(*) AS c FROM (SELECT * FROM plan_all UNION ALL SELECT * FROM all_rules) WHERE severity = 'critical' AND status = 'fail')""", **ctes("manifest plan contrasts", **PLAN_RULES)),
 )
 queries.add(
     "fixture_rules",

@@ -18,6 +18,7 @@ from countloom.sources import tables as T
 
 queries = Registry()
 COLUMNS = TABLES["sample_manifest"].columns
+EVENT_TYPES = ("view", "signup", "click", "error", "purchase")
 
 
 def headed(df, *lines: str):
@@ -80,19 +81,39 @@ def triplets(v: Views):
     folder = scratch(v.spark, "mtx")
     entries = v.t("lineitem").select(F.concat_ws(" ", F.col("l_partkey") + 1, F.col("l_suppkey") + 1, F.col("l_quantity").cast("bigint")).alias("text"))
     headed(entries.repartition(4), "%%MatrixMarket", "% note", "9 9 9").write.text(f"{folder}/m")
-    # The two name lists are single files by definition: a name's place is its line.
-    v.t("part").orderBy("p_partkey").coalesce(1).select(F.concat(F.lit("G"), "p_partkey").alias("t")).write.text(f"{folder}/f")
-    v.t("supplier").orderBy("s_suppkey").coalesce(1).select(F.concat(F.lit("S"), "s_suppkey").alias("t")).write.text(f"{folder}/b")
+    # A name's place is its line; range-sorted parts of a list follow each other by file name.
+    v.t("part").orderBy("p_partkey").select(F.concat(F.lit("G"), "p_partkey").alias("t")).write.text(f"{folder}/f")
+    v.t("supplier").orderBy("s_suppkey").select(F.concat(F.lit("S"), "s_suppkey").alias("t")).write.text(f"{folder}/b")
     return M.read_mtx(v.spark, f"{folder}/m", f"{folder}/f", f"{folder}/b")
 
 
+def faulty_triplets(v: Views):
+    """Every line item, against name lists that are too short for both positions; 13 pieces are no number, flag A has four fields."""
+    folder = scratch(v.spark, "mtx")
+    pieces = F.when(F.col("l_quantity") == 13, F.lit("x")).otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    more = F.when(F.col("l_returnflag") == "A", F.lit("1"))
+    entries = v.t("lineitem").select(F.concat_ws(" ", F.col("l_partkey") + 1, F.col("l_suppkey") + 1, pieces, more).alias("text"))
+    headed(entries.repartition(4), "%%MatrixMarket", "9 9 9").write.text(f"{folder}/m")
+    v.t("supplier").orderBy("s_suppkey").select(F.concat(F.lit("G"), "s_suppkey").alias("t")).write.text(f"{folder}/f")
+    v.t("nation").orderBy("n_nationkey").select(F.concat(F.lit("S"), "n_nationkey").alias("t")).write.text(f"{folder}/b")
+    return M.mtx_problems(v.spark, f"{folder}/m", f"{folder}/f", f"{folder}/b").groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+queries.add("matrix_market_problems", faulty_triplets,
+            """SELECT problem, n FROM (SELECT 'not_three_fields' AS problem, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT 'not_a_number', count(*) FROM lineitem WHERE l_quantity = 13
+            UNION ALL SELECT 'row_without_name', count(*) FROM lineitem WHERE l_partkey + 1 > (SELECT count(*) FROM supplier) UNION ALL SELECT 'column_without_name', count(*) FROM lineitem WHERE l_suppkey + 1 > 25 UNION ALL SELECT 'entry_count_mismatch', 4) WHERE n > 0""")
 queries.add("matrix_market_scan", lambda v: triplets(v).groupBy("barcode").agg(F.count(F.lit(1)).alias("entries"), F.sum("count").alias("total"), F.count_distinct("gene_id").alias("genes")),
             "SELECT 'S' || l_suppkey AS barcode, count(*) AS entries, sum(l_quantity) AS total, count(DISTINCT l_partkey) AS genes FROM lineitem GROUP BY 1")
 
 
 def gene_sets(v: Views):
     path = scratch(v.spark, "gmt")
-    v.genes().groupBy("marker_set").agg(F.concat_ws("\t", F.collect_list("gene_id")).alias("g")).select(F.concat_ws("\t", "marker_set", F.lit("about"), "g").alias("t")).write.text(path)
+    # A set goes over as many lines as it needs for about a hundred genes on each.
+    genes = v.genes()
+    sizes = genes.groupBy("marker_set").agg(F.ceil(F.count(F.lit(1)) / 100).alias("_lines"))
+    chunk = F.pmod(F.xxhash64("gene_id"), F.col("_lines"))
+    lines = genes.join(sizes, "marker_set").groupBy("marker_set", chunk.alias("_chunk")).agg(F.concat_ws("\t", F.collect_list("gene_id")).alias("g"))
+    lines.select(F.concat_ws("\t", "marker_set", F.lit("about"), "g").alias("t")).write.text(path)
     return M.read_gmt(v.spark, path).select("set_name", "gene_id")
 
 
@@ -124,20 +145,21 @@ queries.add("feature_count_scan", feature_counts, "SELECT 'G' || p_partkey AS ge
 def reads(v: Views):
     folder = scratch(v.spark, "reads")
     record = v.t("events").select(F.concat_ws("\n", F.concat(F.when(F.col("user_id") % 9 == 0, F.lit("x")).otherwise(F.lit("@")), "event_id"), F.lit("ACGT"), F.lit("+"), F.lit("IIII")).alias("t"), (F.col("user_id") % 10).alias("lane"))
-    record.repartition(1, "lane").sortWithinPartitions("lane").write.partitionBy("lane").text(folder)
+    record.repartitionByRange("lane", "t").sortWithinPartitions("lane").write.partitionBy("lane").text(folder)
     return X.fastq_integrity(v.spark, f"{folder}/*/*"), X.inventory_files(v.spark, folder, False)
 
 
-queries.add("fastq_integrity", lambda v: reads(v)[0].select(F.regexp_extract("file", "lane=([0-9]+)", 1).alias("lane"), "lines", "records", "integrity"),
+# A lane may be several files; it passes if all of them do.
+queries.add("fastq_integrity", lambda v: reads(v)[0].groupBy(F.regexp_extract("file", "lane=([0-9]+)", 1).alias("lane")).agg(F.sum("lines").alias("lines"), F.sum("records").alias("records"), F.min("integrity").alias("integrity")),
             "SELECT (user_id % 10)::varchar AS lane, count(*) * 4 AS lines, count(*) AS records, CASE WHEN bool_or(user_id % 9 = 0) THEN 'fail' ELSE 'pass' END AS integrity FROM events GROUP BY 1")
-queries.add("file_inventory", lambda v: reads(v)[1].where(~F.col("path").contains("_SUCCESS")).select(F.regexp_extract("path", "lane=([0-9]+)", 1).alias("lane"), "module", (F.length("sha256") == 64).alias("hashed")),
+queries.add("file_inventory", lambda v: reads(v)[1].where(~F.col("path").contains("_SUCCESS")).select(F.regexp_extract("path", "lane=([0-9]+)", 1).alias("lane"), "module", (F.length("sha256") == 64).alias("hashed")).distinct(),
             "SELECT DISTINCT (user_id % 10)::varchar AS lane, 'other' AS module, true AS hashed FROM events")
 queries.add("quant_log_metrics",
             lambda v: rounded(M.quant_metrics(v.t("orders").select(F.concat(F.lit("S"), "o_orderkey").alias("sample_id"), F.when(F.col("o_orderkey") % 2 == 0, F.lit("json")).otherwise(F.lit("pipe")).alias("kind"), F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.struct((F.col("o_custkey") + 10).alias("num_processed"), F.col("o_custkey").alias("num_mapped")))).otherwise(F.concat(F.lit("Number of input reads |\t"), "o_custkey", F.lit("\nUniquely mapped reads % |\t80.5%\n% of reads mapped to multiple loci |\t3.25%"))).alias("text")),
                                               v.t("orders").select(F.concat(F.lit("S"), F.col("o_orderkey") + 1).alias("sample_id"))), "mapping_rate"),
             """SELECT 'S' || (o_orderkey + 1) AS sample_id, CASE WHEN x IS NULL THEN NULL WHEN (o_orderkey + 1) % 2 = 0 THEN (x + 10)::double ELSE x::double END AS read_count, CASE WHEN x IS NULL THEN NULL WHEN (o_orderkey + 1) % 2 = 0 THEN round(100.0::double * x / (x + 10), 6) ELSE 83.75 END AS mapping_rate,
             CASE WHEN x IS NULL THEN 'not_available' WHEN (o_orderkey + 1) % 2 = 0 THEN 'json_log' ELSE 'pipe_log' END AS metric_source FROM orders LEFT JOIN (SELECT o_orderkey AS k, o_custkey AS x FROM orders) ON k = o_orderkey + 1""")
-queries.add("merged_events", lambda v: T.merge_events([v.t("events").where(F.col("event_type") == t).select(F.col("ts").cast("string").alias("timestamp_utc"), "event_id") for t in ("view", "click")]).select("event_id"), "SELECT event_id FROM events WHERE event_type IN ('view', 'click')")
+queries.add("merged_events", lambda v: T.merge_events([v.t("events").where(F.col("event_type") == t).select(F.col("ts").cast("string").alias("timestamp_utc"), "event_id") for t in EVENT_TYPES]).select("event_id"), "SELECT event_id FROM events")
 queries.add("integer_tolerance", lambda v: v.t("orders").select("o_orderkey", is_integral("o_totalprice").alias("whole")), "SELECT o_orderkey, abs(o_totalprice - round_even(o_totalprice, 0)) <= 1e-8::double + 1e-5::double * abs(round_even(o_totalprice, 0)) AS whole FROM orders")
 
 

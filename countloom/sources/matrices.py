@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from countloom.functions.missing import to_number
+from countloom.functions.text import kept
 from countloom.sources.tables import numbered_lines
 
 
@@ -49,23 +51,68 @@ def read_cell_counts(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("count", F.col("count").try_cast("bigint"))
 
 
-def read_mtx(spark: SparkSession, path: str, features: str, barcodes: str) -> DataFrame:
-    """Triplets of MatrixMarket files beside their names by 1-based position.
+def listed_names(spark: SparkSession, path: str, place: str, name: str) -> DataFrame:
+    """(place, name) of a list of names, one on a line; the files of a folder follow each other by path."""
+    lines = numbered_lines(spark, path)
+    sizes = lines.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))  # one row per file
+    starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return lines.join(starts, "file").select((F.col("_before") + F.col("line")).alias(place), F.split("text", "\t")[0].alias(name))
+
+
+def mtx_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entry lines of MatrixMarket files with their fields: file, line, text, row, column, count, fields, and the announced number.
 
     Comment lines start with ``%``; the first other line of a file holds its size.
     """
     lines = numbered_lines(spark, path).where(~F.col("text").startswith("%") & (F.trim("text") != ""))
-    sizes = lines.groupBy("file").agg(F.min("line").alias("_size"))
     cells = F.split(F.trim("text"), r"\s+")
-    entries = lines.join(sizes, "file").where(F.col("line") > F.col("_size")).select(cells[0].cast("bigint").alias("row"), cells[1].cast("bigint").alias("column"), to_number(cells[2]).alias("value"))
-    names = lambda p, place, name: numbered_lines(spark, p).select(F.col("line").alias(place), F.split("text", "\t")[0].alias(name))
-    return entries.join(names(features, "row", "gene_id"), "row").join(names(barcodes, "column", "barcode"), "column").select("barcode", "gene_id", F.col("value").alias("count"))
+    first = F.min_by(F.struct("line", F.get(cells, F.lit(2)).try_cast("bigint").alias("announced")), "line")
+    sizes = lines.groupBy("file").agg(first.alias("_size"))
+    entries = lines.join(sizes, "file").where(F.col("line") > F.col("_size.line"))
+    return entries.select(
+        "file", "line", "text", F.get(cells, F.lit(0)).try_cast("bigint").alias("row"), F.get(cells, F.lit(1)).try_cast("bigint").alias("column"),
+        to_number(F.get(cells, F.lit(2))).alias("count"), F.size(cells).alias("fields"), F.col("_size.announced").alias("announced"),
+    )
+
+
+def read_mtx(spark: SparkSession, path: str, features: str, barcodes: str) -> DataFrame:
+    """Triplets of MatrixMarket files beside their names by 1-based position.
+
+    No entry is lost: a position outside a name list has a null name, a value that
+    is no number a null count.  ``mtx_problems`` lists those lines.
+    """
+    entries = mtx_entries(spark, path).select("row", "column", "count")
+    named = entries.join(listed_names(spark, features, "row", "gene_id"), "row", "left").join(listed_names(spark, barcodes, "column", "barcode"), "column", "left")
+    return named.select("barcode", "gene_id", "count")
+
+
+def mtx_problems(spark: SparkSession, path: str, features: str, barcodes: str) -> DataFrame:
+    """One row (problem, file, line, text) for each fault of an entry line, and one for each file with another number of entries than its size line says."""
+    entries = mtx_entries(spark, path)
+    sizes = listed_names(spark, features, "row", "name").agg(F.count(F.lit(1)).alias("_rows")).crossJoin(listed_names(spark, barcodes, "column", "name").agg(F.count(F.lit(1)).alias("_columns")))
+    # Names stand on consecutive lines, so two counts say which positions have one.
+    known = entries.crossJoin(F.broadcast(sizes))  # a single row
+    faults = kept(
+        (F.col("fields") != 3, "not_three_fields"),
+        (F.col("count").isNull(), "not_a_number"),
+        (F.coalesce(~F.col("row").between(1, F.col("_rows")), F.lit(True)), "row_without_name"),
+        (F.coalesce(~F.col("column").between(1, F.col("_columns")), F.lit(True)), "column_without_name"),
+    )
+    lines = known.select(F.explode(faults).alias("problem"), "file", "line", "text")
+    whole = entries.groupBy("file", "announced").agg(F.count(F.lit(1)).alias("n")).where(~F.col("announced").eqNullSafe(F.col("n")))
+    return lines.unionByName(whole.select(F.lit("entry_count_mismatch").alias("problem"), "file", F.lit(None).cast("bigint").alias("line"), F.concat_ws(" ", "announced", "n").alias("text")))
 
 
 def read_gmt(spark: SparkSession, path: str) -> DataFrame:
-    """(set_name, gene_id, position): name, description, then genes; repeats dropped."""
+    """(set_name, gene_id, position): name, description, then genes.
+
+    A large set may go over several lines of one name; repeats are dropped and the
+    first line that names a gene is its position.
+    """
     lines = numbered_lines(spark, path).withColumn("_c", F.split("text", "\t")).where(F.size("_c") >= 3)
-    return lines.select(F.col("_c")[0].alias("set_name"), F.col("line").alias("position"), F.explode(F.slice("_c", 3, F.size("_c") - 2)).alias("gene_id")).where(F.col("gene_id") != "").distinct()
+    genes = lines.select(F.col("_c")[0].alias("set_name"), "line", F.explode(F.slice("_c", 3, F.size("_c") - 2)).alias("gene_id")).where(F.col("gene_id") != "")
+    return genes.groupBy("set_name", "gene_id").agg(F.min("line").alias("position"))
 
 
 def read_quant(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
