@@ -99,14 +99,14 @@ def mix(
     keep: Sequence[str] = (),
     repeats: int = MAX_REPEATS,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, source, size, source_size, target, taken, passes and position.
+    """One row per row of ``docs``: id, source, size, source_size, target, taken, passes, position and positions.
 
     ``size`` counts words (null text: 0).  ``taken`` is how many words the mix
     takes, repeats counted; at most ``repeats`` times the size.  Within a source
     the takes add up to the target but for its fraction of a word: the last
-    document of the last pass may be taken in part.  ``position`` is when the
-    first pass reaches the document (null when nothing is taken); ``passes`` how
-    often it is taken.  Columns named in ``keep`` come along.  Documents are
+    document of the last pass may be taken in part.  ``positions`` are when the
+    passes reach the document, one for each pass that takes of it, ``position`` the
+    first of them (null when nothing is taken) and ``passes`` their number.  Columns named in ``keep`` come along.  Documents are
     shuffled by the md5 of the id, rows equal in id by their text's hash, so reruns
     agree.  A null source is a source of its own; empty texts are never taken; an
     empty table gives no rows.
@@ -131,14 +131,19 @@ def mix(
         take = F.least(F.col("size_"), F.greatest(F.lit(0).cast("bigint"), words - start))
         takes.append(take)
         firsts.append(F.when(take > 0, start))
-    done = F.coalesce(*firsts) / F.col("target")
-    when = F.lit(None).cast("double")
-    for i, schedule in enumerate(schedules):
-        when = F.when(F.col("rank") % len(schedules) == i, position(F.col("done_"), schedule)).otherwise(when)
+
+    def at(done: Column) -> Column:
+        when = F.lit(None).cast("double")
+        for i, schedule in enumerate(schedules):
+            when = F.when(F.col("rank") % len(schedules) == i, position(done, schedule)).otherwise(when)
+        return F.round(when, 9)
+
+    starts = F.filter(F.array(*firsts), lambda s: s.isNotNull())
     taken, passes = F.lit(0).cast("bigint"), F.lit(0)
     for take in takes:
         taken, passes = taken + take, passes + F.when(take > 0, 1).otherwise(0)
-    joined = joined.withColumns({"taken_": taken, "passes_": passes, "done_": done})
+    joined = joined.withColumns({"taken_": taken, "passes_": passes, "done_": F.transform(starts, lambda s: s / F.col("target"))})
+    joined = joined.withColumn("at_", F.transform("done_", at))
     return joined.select(
         F.col("id_").alias(id_col),
         F.col("source_").alias(source),
@@ -147,7 +152,8 @@ def mix(
         "target",
         F.col("taken_").alias("taken"),
         F.col("passes_").alias("passes"),
-        F.when(F.col("taken_") > 0, F.round(when, 9)).alias("position"),
+        F.get("at_", F.lit(0)).alias("position"),
+        F.col("at_").alias("positions"),
         *[F.col(f"keep{i}_").alias(c) for i, c in enumerate(keep)],
     )
 

@@ -73,7 +73,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = mix(_table(spark, sf_dir, "documents"), (3, 1, 2), 1.5)
-    return in_training_order(made).select("doc_id", "size", "source_size", "target", "taken", "passes", "position")
+    return in_training_order(made).select("doc_id", "size", "source_size", "target", "taken", "passes", "position", "positions")
 
 
 def op8_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,31 @@ def test_mixing(odd_docs):
     assert mixing.mix(odd_docs.limit(0)).count() == 0
 
 
+def test_mixing_places_every_pass(odd_docs):
+    """Positions against a walk along each source's stream, word for word of the target."""
+    rows = mixing.mix(odd_docs).collect()
+    steps = [i / 200_000 for i in range(200_001)]
+    order = sorted({r["source"] for r in rows}, key=lambda s: (s is None, s or ""))
+    for source in order:
+        knots = mixing.SCHEDULES[order.index(source) % 3]
+        weight = lambda t: next(w0 + (w1 - w0) * (t - t0) / (t1 - t0) for (t0, w0), (t1, w1) in zip(knots, knots[1:]) if t <= t1)
+        demand, total = [0.0], 0.0
+        for a, b in zip(steps, steps[1:]):
+            total += (weight(a) + weight(b)) / 2 * (b - a)
+            demand.append(total)
+        mine = [r for r in rows if r["source"] == source]
+        assert all(len(r["positions"]) == r["passes"] and r["positions"] == sorted(r["positions"]) for r in mine)
+        # In order of position, takes follow each other along the demand.
+        events = sorted((p, i, k) for i, r in enumerate(mine) for k, p in enumerate(r["positions"]))
+        done, target = 0, mine[0]["target"]
+        for p, i, k in events:
+            at = demand[min(len(steps) - 1, round(p * 200_000))] / total
+            assert abs(at - done / target) < 1e-4
+            size, taken = mine[i]["size"], mine[i]["taken"]
+            done += min(size, taken - size * k)
+        assert done == int(target)
+
+
 def test_near_duplicates(spark, odd_docs):
     draw = random.Random(2)
     base = [f"w{draw.randint(0, 400)}" for _ in range(150)]
@@ -237,6 +262,22 @@ def test_url_rules_and_reputation(spark):
     assert got[6] == ("ok.org", "/a", None, "allow") and got[7] == ("bad.org", "/", None, "block")
 
 
+def test_unseen_hosts_take_the_prior_above(spark):
+    """A host without outcomes is judged by its registered domain, else its suffix, else all."""
+    seen = [(f"s{i}.spam.co.uk", 1) for i in range(30) for _ in range(5)] + [(f"s{i}.fine.co.uk", 0) for i in range(30) for _ in range(5)]
+    seen += [(None, 1), ("s0.spam.co.uk", None)]
+    outcomes = spark.createDataFrame(seen, "host string, bad int")
+    urls = ["x://new.spam.co.uk/", "x://user@new.fine.co.uk:80/", "x://a.other.co.uk/", "x://a.b.zz/", "x:///", None, "x://s0.spam.co.uk/", "x://s0.spam.co.uk/"]
+    pages = spark.createDataFrame([(i, u, "x", 1.0) for i, u in enumerate(urls)], "page_id long, url string, host string, mean double")
+    got = {r["page_id"]: r for r in filter_urls(pages, outcomes).collect()}
+    assert [got[i]["bad_level"] for i in range(8)] == ["domain", "domain", "suffix", "top", None, None, "host", "host"]
+    assert [got[i]["verdict"] for i in range(8)] == ["block", "allow", "allow", "allow", "allow", "allow", "block", "block"]
+    assert got[0]["bad_mean"] > 0.8 > 0.2 > got[1]["bad_mean"] and 0.3 < got[2]["bad_mean"] < 0.7
+    none = filter_urls(pages, outcomes.limit(0)).collect()
+    assert len(none) == 8 and {r["verdict"] for r in none} == {"allow"}
+    assert filter_urls(pages.limit(0), outcomes).count() == 0
+
+
 def test_bm25_equals_full_scoring(spark):
     draw = random.Random(6)
     texts = {i: " ".join(draw.choice("abcdefghijklmnopqrstuvwxyz") * draw.randint(1, 3) for _ in range(draw.randint(0, 40))) for i in range(300)}
