@@ -187,14 +187,14 @@ def test_doublets_get_a_status_per_sample(spark):
 
 def test_size_factors_without_a_complete_gene(spark):
     """No gene is free of zeros: factors come from positive counts, and a sample of zeros is kept."""
-    from math import exp, log
+    exp, log = math.exp, math.log
 
     rows = [("D", "g1", "a", 2), ("D", "g1", "b", 8), ("D", "g2", "a", 4), ("D", "g3", "b", 4), ("D", "g1", "c", 0)]
-    counts = spark.createDataFrame(rows, "dataset_id string, gene_id string, sample_id string, count long")
-    got = {r["sample_id"]: r for r in C.size_factors(counts).collect()}
+    table = spark.createDataFrame(rows, "dataset_id string, gene_id string, sample_id string, count long")
+    got = {r["sample_id"]: r for r in counts.size_factors(table).collect()}
     mean = {"g1": (log(2) + log(8)) / 3, "g2": log(4) / 3, "g3": log(4) / 3}
     a = (log(2) - mean["g1"] + log(4) - mean["g2"]) / 2
     b = (log(8) - mean["g1"] + log(4) - mean["g3"]) / 2
     assert abs(got["a"]["size_factor"] - exp(a - (a + b) / 2)) < 1e-9 and got["a"]["size_method"] == "positive"
     assert got["c"]["size_factor"] is None and got["c"]["size_method"] == "not_estimable"
-    assert C.size_normalize(counts).count() == 5
+    assert counts.size_normalize(table).count() == 5
