@@ -6,13 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from countloom.functions.missing import col, is_missing, is_true, or_na, present
 from countloom.functions.text import match_globs, strip_version
-from countloom.operators.ranking import cumulative
+from countloom.operators.ordered import numbered
 
 
 def match_samples(expected: DataFrame, observed: DataFrame, keys: Sequence[str] = ("dataset_id", "sample_id")) -> DataFrame:
@@ -31,15 +29,11 @@ def match_samples(expected: DataFrame, observed: DataFrame, keys: Sequence[str]
 def check_order(expected: DataFrame, observed: DataFrame, by: str = "dataset_id") -> DataFrame:
     """Same samples in another order?  Positions are compared by join, never collected.
 
-    Both tables hold (by, sample_id, position); positions need only be sortable.
+    Both tables hold (by, sample_id, position); positions need only be sortable, ties
+    stand by sample.  A dataset's samples are numbered over many tasks.
     """
     def placed(df: DataFrame, name: str) -> DataFrame:
-        if isinstance(df.schema["position"].dataType, T.NumericType):
-            # Numeric positions are ranked across tasks, however many samples a dataset has.
-            below = cumulative(df, "position", [by]).select(by, F.col("position").alias("_p"), (F.col("n_below") + 1).alias(name))
-            return df.select(by, "sample_id", F.col("position").cast("double").alias("_p")).join(below, [by, "_p"]).drop("_p")
-        w = W.partitionBy(by).orderBy("position", "sample_id")
-        return df.select(by, "sample_id", F.row_number().over(w).alias(name))
+        return numbered(df.select(by, "sample_id", "position"), [by], ["position", "sample_id"], name).drop("position")
 
     both = placed(expected, "_a").join(placed(observed, "_b"), [by, "sample_id"])
     moved = F.count_if(F.col("_a") != F.col("_b"))

@@ -202,12 +202,12 @@ STEPS = {"signup": ("view", "click"), "view": ("click", "view", "purchase"), "cl
 
 
 def log(v: Views):
-    return v.t("events").select(F.col("user_id").alias("job_id"), "ts", "event_id", F.col("event_type").alias("status"), F.to_date("ts").alias("day"))
+    return v.t("events").select(F.col("user_id").alias("job_id"), "ts", "event_id", F.col("event_type").alias("status"))
 
 
 _PAIRS = ", ".join(f"'{a}>{b}'" for a, n in STEPS.items() for b in n)
 _AUDIT = f"SELECT user_id AS job_id, event_id, p AS previous_status, event_type AS status FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NOT NULL AND p || '>' || event_type NOT IN ({_PAIRS})"
-queries.add("transition_audit", lambda v: Q.transition_audit(log(v), STEPS, day="day").select("job_id", "event_id", "previous_status", "status"), _AUDIT)
+queries.add("transition_audit", lambda v: Q.transition_audit(log(v), STEPS).select("job_id", "event_id", "previous_status", "status"), _AUDIT)
 queries.add("current_status", lambda v: Q.current_status(log(v)), "SELECT user_id AS job_id, arg_max(event_type, (ts, event_id)) AS status, count(*) AS events, false AS terminal, true AS cancellable FROM events GROUP BY 1")
 
 

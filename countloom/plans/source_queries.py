@@ -77,6 +77,27 @@ queries.add("wide_matrix_to_long", lambda v: M.read_count_matrix(v.spark, wide_m
             sql("counts_nation", "SELECT gene_id, dataset_id AS sample_id, sum(count)::bigint AS count FROM counts_nation GROUP BY ALL"))
 
 
+def ragged_matrix(v: Views):
+    """Genes of the region counts; each fifth key lacks its last field, the names hold a dot and a repeat."""
+    path = scratch(v.spark, "ragged")
+    rows = v.t("part").select(F.concat_ws("\t", F.concat(F.lit("G"), "p_partkey"), "p_size", F.when(F.col("p_partkey") % 5 != 0, F.col("p_retailprice").cast("bigint"))).alias("text"))
+    headed(rows.repartition(4), "gene_id\tS.1\tS.1").write.text(path)
+    return path
+
+
+queries.add(
+    "ragged_matrix_profile",
+    lambda v: M.inspect_matrix(v.spark, ragged_matrix(v)).select("row_count", "malformed_rows", "entries", "genes", "sample_columns", F.col("total").cast("bigint").alias("total"), "count_type"),
+    """SELECT count(*) AS row_count, count(*) FILTER (WHERE p_partkey % 5 = 0) AS malformed_rows, 2 * count(*) FILTER (WHERE p_partkey % 5 <> 0) AS entries, count(*) FILTER (WHERE p_partkey % 5 <> 0) AS genes, 1::bigint AS sample_columns,
+        (sum(p_size + trunc(p_retailprice)) FILTER (WHERE p_partkey % 5 <> 0))::bigint AS total, 'raw_integer_counts' AS count_type FROM part""",
+)
+queries.add(
+    "ragged_matrix_problems",
+    lambda v: M.matrix_problems(v.spark, ragged_matrix(v)),
+    """SELECT 'malformed_row' AS problem, 'G' || p_partkey AS gene_id, 'G' || p_partkey || chr(9) || p_size AS text FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT 'repeated_column', NULL, 'S.1'""",
+)
+
+
 def triplets(v: Views):
     folder = scratch(v.spark, "mtx")
     entries = v.t("lineitem").select(F.concat_ws(" ", F.col("l_partkey") + 1, F.col("l_suppkey") + 1, F.col("l_quantity").cast("bigint")).alias("text"))
@@ -172,3 +193,24 @@ def cell_table(v: Views):
 
 queries.add("long_cell_table", lambda v: cell_table(v).groupBy("cell_type", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")),
             sql("cells cell_counts", "SELECT author_label AS cell_type, \"group\", count(*) AS n, sum(count)::bigint AS total FROM cells JOIN cell_counts USING (cell_id) GROUP BY ALL"))
+
+
+def faulty_cells(v: Views):
+    """Order lines as cells: counts of every kind, rows without subject or group, cells of two identities."""
+    path = scratch(v.spark, "faulty")
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    count = F.when(k % 7 == 0, F.lit("1.5")).when(k % 11 == 0, F.lit("-3")).when(k % 13 == 0, F.lit("x")).otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    rows = v.t("lineitem").select(
+        k.alias("cell_id"), F.lit("D").alias("dataset_id"), F.lit("S").alias("sample_id"), F.when(k % 17 == 0, F.lit("NA")).otherwise(F.lit("P")).alias("subject_id"),
+        F.when(k % 19 == 0, F.lit("")).otherwise(F.lit("case")).alias("group"), F.when((k % 23 == 0) & (n == 1), F.lit("T")).otherwise(F.lit("B")).alias("cell_type"), F.concat(F.lit("G"), n).alias("gene_id"), count.alias("count"))
+    T.write_table(rows, list(M.CELL_COLUMNS), path)
+    return path
+
+
+queries.add(
+    "cell_table_problems",
+    lambda v: M.cell_problems(v.spark, faulty_cells(v)).select("problem", F.col("cell_id").cast("bigint").alias("cell_id"), F.split_part("detail", F.lit(" "), F.lit(1)).alias("place")),
+    """SELECT problem, l_orderkey AS cell_id, 'G' || l_linenumber AS place FROM (SELECT *, unnest(list_filter([CASE WHEN l_orderkey % 17 = 0 THEN 'missing_subject' END, CASE WHEN l_orderkey % 19 = 0 THEN 'missing_group' END,
+            CASE WHEN l_orderkey % 7 = 0 THEN 'fractional_count' WHEN l_orderkey % 11 = 0 THEN 'negative_count' WHEN l_orderkey % 13 = 0 THEN 'not_a_number' END], lambda p: p IS NOT NULL)) AS problem FROM lineitem)
+        UNION ALL SELECT 'several_identities', l_orderkey, '2' FROM lineitem WHERE l_orderkey % 23 = 0 GROUP BY l_orderkey HAVING count(*) FILTER (WHERE l_linenumber = 1) > 0 AND count(*) FILTER (WHERE l_linenumber <> 1) > 0""",
+)

@@ -2,28 +2,78 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from countloom.functions.missing import to_number
+from countloom.functions.missing import is_missing, to_number
 from countloom.functions.text import kept
+from countloom.operators.cells import identity_conflicts
+from countloom.operators.counts import count_type, profile_matrix
 from countloom.sources.tables import numbered_lines
 
 
-def read_count_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Wide matrix to (gene_id, sample_id, value_text); comma or tab by the header's counts."""
+MALFORMED = "_malformed"
+
+
+def wide_rows(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(rows of a wide matrix, names in its header); comma or tab by the header's counts.
+
+    Columns are read by place: ``c0`` is the gene, ``_malformed`` the text of a row
+    with another number of fields than the header.  Names may hold anything, repeats
+    included.
+    """
     head = spark.read.text(path).first()
     if head is None:
-        return spark.createDataFrame([], "gene_id string, sample_id string, value_text string")
+        return spark.createDataFrame([], f"c0 string, {MALFORMED} string"), []
     sep = "," if head[0].count(",") > head[0].count("\t") else "\t"
-    wide = spark.read.option("header", True).option("sep", sep).csv(path)
-    gene, samples = wide.columns[0], wide.columns[1:]
-    if not samples:
-        return spark.createDataFrame([], "gene_id string, sample_id string, value_text string")
-    return wide.withColumnRenamed(gene, "gene_id").unpivot("gene_id", samples, "sample_id", "value_text")
+    names = next(csv.reader([head[0]], delimiter=sep), [""])
+    schema = ", ".join([*[f"c{i} string" for i in range(len(names))], f"{MALFORMED} string"])
+    # Without pruning the fields of a row are counted whatever columns are asked for.
+    read = spark.read.schema(schema).options(header=True, sep=sep, columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
+    return read.csv(path), names
+
+
+def read_count_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """Wide matrix to (gene_id, sample_id, value_text), one row for each column of each gene.
+
+    A row short of fields has nulls in the rest; ``matrix_problems`` lists it.
+    """
+    return _cells(*wide_rows(spark, path))
+
+
+def _cells(rows: DataFrame, names: list[str]) -> DataFrame:
+    if len(names) < 2:
+        return rows.sparkSession.createDataFrame([], "gene_id string, sample_id string, value_text string")
+    cells = rows.select(F.col("c0").alias("gene_id"), F.posexplode(F.array(*[f"c{i}" for i in range(1, len(names))])).alias("_at", "value_text"))
+    return cells.select("gene_id", F.get(F.lit(names[1:]), F.col("_at")).alias("sample_id"), "value_text")
+
+
+def matrix_problems(spark: SparkSession, path: str) -> DataFrame:
+    """One row (problem, gene_id, text) for each fault: rows of another width than the header, and columns named twice."""
+    rows, names = wide_rows(spark, path)
+    wide = rows.where(F.col(MALFORMED).isNotNull()).select(F.lit("malformed_row").alias("problem"), F.col("c0").alias("gene_id"), F.col(MALFORMED).alias("text"))
+    twice = [("repeated_column", None, name) for name, n in Counter(names[1:]).items() if n > 1]
+    return wide.unionByName(spark.createDataFrame(twice, "problem string, gene_id string, text string"))
+
+
+def inspect_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """One row on a wide matrix: what its values look like, its rows and its malformed rows.
+
+    Malformed rows are counted and enter no other figure; a file without another row
+    has nulls there.
+    """
+    rows, names = wide_rows(spark, path)
+    sizes = rows.agg((F.count("c0") + F.count_if(F.col("c0").isNull())).alias("row_count"), F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed_rows"))
+    entries = _cells(rows.where(F.col(MALFORMED).isNull()), names).withColumn("path", F.lit(path))
+    whole = sizes.withColumn("path", F.lit(path)).join(profile_matrix(entries, ["path"]), "path", "left")
+    # The file's name and header may say what the values are.
+    hint = " ".join([path.rstrip("/").rsplit("/", 1)[-1], *names])
+    return count_type(whole.withColumn("label", F.lit(hint))).drop("label")
 
 
 def matrix_columns(spark: SparkSession, path: str) -> DataFrame:
@@ -41,14 +91,43 @@ def write_wide(counts: DataFrame, samples: Sequence[str], path: str, value: str
     wide.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
-def read_cell_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The long single-cell table: eight required columns, integer counts."""
-    required = ("cell_id", "dataset_id", "sample_id", "subject_id", "group", "cell_type", "gene_id", "count")
+CELL_COLUMNS = ("cell_id", "dataset_id", "sample_id", "subject_id", "group", "cell_type", "gene_id", "count")
+
+
+def cell_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The long single-cell table as text; all eight columns must be there."""
     df = spark.read.option("header", True).option("sep", "\t").csv(path)
-    gone = [c for c in required if c not in df.columns]
+    gone = [c for c in CELL_COLUMNS if c not in df.columns]
     if gone:
         raise ValueError(f"missing columns: {gone}")
-    return df.withColumn("count", F.col("count").try_cast("bigint"))
+    return df
+
+
+def read_cell_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The long single-cell table with integer counts; other counts are null and listed by ``cell_problems``."""
+    number = to_number("count")
+    whole = F.when(number == F.rint(number), number).try_cast("bigint")
+    return cell_lines(spark, path).withColumn("count", whole)
+
+
+def cell_problems(spark: SparkSession, path: str) -> DataFrame:
+    """One row (problem, cell_id, detail) for each fault of the long single-cell table.
+
+    Counts that are no raw counts and rows without subject or group are found while
+    reading; a cell id with several identities is one row.
+    """
+    df = cell_lines(spark, path)
+    number = to_number("count")
+    faults = kept(
+        (is_missing("subject_id"), "missing_subject"),
+        (is_missing("group"), "missing_group"),
+        (number.isNull(), "not_a_number"),
+        (number < 0, "negative_count"),
+        (number != F.rint(number), "fractional_count"),
+    )
+    rows = df.select(F.explode(faults).alias("problem"), "cell_id", F.concat_ws(" ", "gene_id", "count").alias("detail"))
+    several = identity_conflicts(df).select(F.lit("several_identities").alias("problem"), "cell_id", F.col("identities").cast("string").alias("detail"))
+    return rows.unionByName(several)
 
 
 def listed_names(spark: SparkSession, path: str, place: str, name: str) -> DataFrame:
