@@ -7,12 +7,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from countloom.operators.counts import sample_pca, top_variance_genes
 from countloom.operators.pairwise import gram, mirrored
 from countloom.operators.ranking import bh_adjust
 from countloom.session import reuse
 
+FIT_TOLERANCE = 1e-9
+
 
 def coexpression(expression: DataFrame, value: str = "value", power: float = 6.0, top_genes: int = 2000, tiles: int = 1) -> tuple[DataFrame, DataFrame]:
     """(edges with adjacency and topological overlap, connectivity per gene), per dataset.
@@ -94,11 +98,14 @@ def modules(edges: DataFrame, expression: DataFrame, value: str = "value", thres
     return named, first
 
 
-def cell_fractions(expression: DataFrame, signature: DataFrame, value: str = "value", iterations: int = 500, min_genes: int = 10) -> DataFrame:
-    """Non-negative fractions per sample by multiplicative updates, scaled to one.
+def cell_fractions(expression: DataFrame, signature: DataFrame, value: str = "value", min_genes: int = 10) -> DataFrame:
+    """Non-negative least squares per sample, scaled to one, with its certificate.
 
     ``signature`` is (gene_id, cell_type, weight).  Only sums over genes are
-    needed: cell types squared once, cell types per sample.
+    needed: cell types squared once, cell types per sample.  ``gradient`` is that of
+    half the squared residual, over the largest product of the sample: at the
+    optimum it is zero where the weight is positive and nowhere below zero.
+    ``residual`` is the squared norm left over.
     """
     shared = signature.join(expression.select("gene_id").distinct(), "gene_id", "left_semi")
     genes = shared.select("gene_id").distinct().agg(F.count(F.lit(1)).alias("_genes"))
@@ -106,19 +113,56 @@ def cell_fractions(expression: DataFrame, signature: DataFrame, value: str = "va
     products = mirrored(gram(shared, [], "gene_id", "cell_type", "weight"), [])
     rows = products.groupBy("col_i").agg(F.transform(F.array_sort(F.collect_list(F.struct("col_j", "dot"))), lambda s: s["dot"]).alias("row"))  # cell types
     matrix = rows.agg(F.array_sort(F.collect_list(F.struct("col_i", "row"))).alias("_m")).select(F.transform("_m", lambda s: s["col_i"]).alias("types"), F.transform("_m", lambda s: s["row"]).alias("ata"))
-    target = expression.join(shared, "gene_id").groupBy("dataset_id", "sample_id", "cell_type").agg(F.sum(F.col("weight") * F.col(value)).alias("_t"))
-    per = target.groupBy("dataset_id", "sample_id").agg(F.map_from_entries(F.collect_list(F.struct("cell_type", "_t"))).alias("_map"))
-    joined = per.crossJoin(F.broadcast(matrix)).withColumn("aty", F.transform("types", lambda t: F.coalesce(F.try_element_at(F.col("_map"), t), F.lit(0.0))))  # one row
-
-    def update(x, _):
-        predicted = F.transform(F.col("ata"), lambda r: F.aggregate(F.zip_with(r, x, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-        ratio = F.zip_with(F.col("aty"), predicted, lambda t, p: F.greatest(t, F.lit(0.0)) / F.greatest(p, F.lit(1e-300)))
-        return F.zip_with(x, ratio, lambda v, r: v * r)
-
-    fitted = joined.withColumn("_x", F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.transform("aty", lambda _: F.lit(1.0)), update))
+    each = ["dataset_id", "sample_id"]
+    target = expression.join(shared, "gene_id").groupBy(*each, "cell_type").agg(F.sum(F.col("weight") * F.col(value)).alias("_t"))
+    per = target.groupBy(*each).agg(F.map_from_entries(F.collect_list(F.struct("cell_type", "_t"))).alias("_map"))
+    known = shared.select("gene_id").distinct()
+    norms = expression.join(known, "gene_id", "left_semi").groupBy(*each).agg(F.sum(F.col(value) * F.col(value)).alias("yty"))
+    joined = per.join(norms, each).crossJoin(F.broadcast(matrix)).withColumn("aty", F.transform("types", lambda t: F.coalesce(F.try_element_at(F.col("_map"), t), F.lit(0.0))))  # one row
+    x = fitted_weights("ata", "aty")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+    fitted = joined.withColumn("_x", x).withColumn("_fit", F.transform("ata", lambda r: dot(r, F.col("_x"))))
+    scale = F.greatest(F.aggregate("aty", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v))), F.lit(1e-300))
     total = F.aggregate("_x", F.lit(0.0), lambda s, v: s + v)
-    shares = fitted.withColumn("_total", total).select("dataset_id", "sample_id", "_total", F.explode(F.arrays_zip("types", "_x")).alias("_z"))
-    return shares.select("dataset_id", "sample_id", F.col("_z.types").alias("cell_type"), F.when(F.col("_total") > 0, F.col("_z._x") / F.col("_total")).otherwise(F.lit(0.0)).alias("fraction"))
+    fitted = fitted.withColumns({
+        "_total": total, "residual": F.greatest(F.lit(0.0), F.col("yty") - 2.0 * dot(F.col("_x"), F.col("aty")) + dot(F.col("_x"), F.col("_fit"))),
+        "_g": F.zip_with("_fit", "aty", lambda f, t: (f - t) / scale)})
+    shares = fitted.select(*each, "_total", "residual", F.explode(F.arrays_zip("types", "_x", "_g")).alias("_z"))
+    weight, gradient = F.col("_z._x"), F.col("_z._g")
+    # Whether this cell type's condition holds: no pull upwards, and none at all on a positive weight.
+    return shares.select(
+        *each, F.col("_z.types").alias("cell_type"), F.when(F.col("_total") > 0, weight / F.col("_total")).otherwise(F.lit(0.0)).alias("fraction"),
+        gradient.alias("gradient"), ((gradient >= -FIT_TOLERANCE) & ((weight == 0) | (F.abs(gradient) <= FIT_TOLERANCE))).alias("converged"), "residual")
+
+
+@pandas_udf(T.ArrayType(T.DoubleType()))
+def fitted_weights(ata: pd.Series, aty: pd.Series) -> pd.Series:
+    """Active sets: free the most wanted variable, solve on the free ones, step back to the border where one turns negative."""
+    return pd.Series([_active_set(np.array([list(r) for r in m]), np.array(t)) for m, t in zip(ata, aty)])
+
+
+def _active_set(ata: np.ndarray, aty: np.ndarray) -> np.ndarray:
+    x, free, seen = np.zeros(len(aty)), np.zeros(len(aty), bool), set()
+    floor = 1e-12 * max(np.abs(aty).max(initial=0.0), 1e-300)
+    while True:
+        pull = np.where(free, -np.inf, aty - ata @ x)
+        # Each set of free variables comes once; among dependent cell types rounding could bring one back.
+        if not pull.max(initial=-np.inf) > floor or free.tobytes() in seen:
+            return x
+        seen.add(free.tobytes())
+        free[pull.argmax()] = True
+        while free.any():
+            z = np.zeros_like(x)
+            z[free] = np.linalg.lstsq(ata[np.ix_(free, free)], aty[free], rcond=None)[0]
+            low = free & (z <= 0)
+            if not low.any():
+                x = z
+                break
+            gap = x - z
+            step = np.where(low, np.divide(x, gap, out=np.zeros_like(x), where=gap > 0), np.inf)
+            x = x + step.min() * (z - x)
+            free &= step > step.min()
+            x[~free] = 0.0
 
 
 def survival_scan(expression: DataFrame, survival: DataFrame, value: str = "value", max_genes: int = 500, min_samples: int = 5) -> DataFrame:
@@ -133,7 +177,7 @@ def survival_scan(expression: DataFrame, survival: DataFrame, value: str = "valu
     enough = about.join(rows.select(*by, "sample_id").distinct(), [*by, "sample_id"], "left_semi").groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_samples).select(*by)
     genes = top_variance_genes(rows, value, max_genes).select(*by, "gene_id").join(enough, by, "left_semi")
     dense = genes.join(about, by).join(rows.select(*by, "gene_id", "sample_id", F.col(value).cast("double").alias("x")), [*by, "gene_id", "sample_id"], "left").na.fill(0.0, ["x"])
-    fits = dense.groupBy(*by, "gene_id").applyInPandas(_hazard, "dataset_id string, gene_id string, coefficient double, standard_error double")
+    fits = dense.groupBy(*by, "gene_id").applyInPandas(_hazard, "dataset_id string, gene_id string, coefficient double, standard_error double, converged boolean")
     from countloom.functions.special import two_sided_p
 
     tested = fits.where(F.col("standard_error") > 0).withColumn("hazard_ratio", F.exp("coefficient")).withColumn("pvalue", two_sided_p(F.col("coefficient") / F.col("standard_error")))
@@ -141,31 +185,44 @@ def survival_scan(expression: DataFrame, survival: DataFrame, value: str = "valu
 
 
 def _hazard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Newton steps on the partial likelihood with Efron's handling of tied times."""
+    """Newton steps on the partial likelihood with Efron's handling of tied times, halved until it grows.
+
+    Ends at a step of no size, with ``converged``, or where the likelihood has no
+    maximum: its curvature vanishes while the steps do not.
+    """
     order = np.argsort(-rows["time"].to_numpy(), kind="stable")
-    time, event = rows["time"].to_numpy()[order], rows["event"].to_numpy()[order]
-    x = rows["x"].to_numpy()[order]
-    x = x - x.mean()
-    b, info = 0.0, 0.0
-    last = np.searchsorted(-time, -np.unique(time)[::-1], side="right")
-    for _ in range(25):
-        w = np.exp(np.clip(b * x, -500, 500))
-        s0, s1, s2 = np.cumsum(w), np.cumsum(w * x), np.cumsum(w * x * x)
-        score, info, start = 0.0, 0.0, 0
-        for end in last:
-            dead = np.arange(start, end)[event[start:end] > 0]
-            start = end
-            d = len(dead)
-            for i in range(d):
-                part = i / d
-                a0, a1, a2 = (s[end - 1] - part * t for s, t in ((s0, w[dead].sum()), (s1, (w * x)[dead].sum()), (s2, (w * x * x)[dead].sum())))
-                score += x[dead[i]] - a1 / a0
-                info += a2 / a0 - (a1 / a0) ** 2
-        if not info > 1e-12:
-            break
+    time, event, raw = (rows[c].to_numpy()[order] for c in ("time", "event", "x"))
+    scale = raw.std() or 1.0
+    x = (raw - raw.mean()) / scale
+    dead = np.flatnonzero(event > 0)
+    ends = np.searchsorted(-time, -time[dead], side="right") - 1
+    _, first, tied, size = np.unique(-time[dead], return_index=True, return_inverse=True, return_counts=True)
+    part = (np.arange(len(dead)) - first[tied]) / size[tied]
+
+    def at(b: float) -> tuple[float, float, float]:
+        """Log likelihood, score and information."""
+        top = (b * x).max()
+        w = np.exp(b * x - top)
+        s0, s1, s2 = (np.cumsum(v)[ends] - part * np.bincount(tied, v[dead], len(size))[tied] for v in (w, w * x, w * x * x))
+        with np.errstate(all="ignore"):
+            mean = s1 / s0
+            return (b * x[dead] - top - np.log(s0)).sum(), (x[dead] - mean).sum(), (s2 / s0 - mean * mean).sum()
+
+    b, done = 0.0, False
+    height, score, info = at(b) if len(dead) else (0.0, 0.0, 0.0)
+    while info > 1e-12:
         step = score / info
-        b += np.clip(step, -5, 5)
-        if abs(step) < 1e-9:
+        if abs(step) <= 1e-9 * (1 + abs(b)):
+            done = True
+            break
+        trial = at(b + step)
+        while not trial[0] > height and abs(step) > 1e-12 * (1 + abs(b)):
+            step /= 2
+            trial = at(b + step)
+        if not trial[0] > height:
+            # No higher point is told apart: the top, to rounding, if the slope says so too.
+            done = abs(score / info) <= 1e-6 * (1 + abs(b))
             break
-    error = 1.0 / np.sqrt(info) if info > 1e-12 else float("nan")
-    return pd.DataFrame({"dataset_id": [key[0]], "gene_id": [key[1]], "coefficient": [b], "standard_error": [error]})
+        b, (height, score, info) = b + step, trial
+    error = 1.0 / np.sqrt(info) / scale if info > 1e-12 else float("nan")
+    return pd.DataFrame({"dataset_id": [key[0]], "gene_id": [key[1]], "coefficient": [b / scale], "standard_error": [error], "converged": [done]})

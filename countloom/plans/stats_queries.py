@@ -17,6 +17,7 @@ from countloom.plans.meta_queries import bh_sql
 from countloom.plans.registry import Registry, rounded
 from countloom.plans.reviewed import TEXT, reviewed
 from countloom.plans.views import Views, sql, two_sided_sql
+from countloom.session import reuse
 
 queries = Registry()
 
@@ -89,9 +90,17 @@ queries.add(
 )
 queries.add("network_modules", lambda v: W.modules(net(v)[0], logged(v, "year"), "value", 0.1, 3)[0])
 queries.add("module_eigengenes", lambda v: rounded(W.modules(net(v)[0], logged(v, "year"), "value", 0.1, 3)[1], "eigengene", digits=4))
+def fractions(v: Views):
+    weights = N.cell_type_expression(v.cells(), v.cell_counts(), "author_label").select("gene_id", "cell_type", F.col("mean_expression").alias("weight"))
+    return W.cell_fractions(v.counts("nation").withColumnRenamed("count", "value"), weights, "value")
+
+
+queries.add("cell_fractions", lambda v: rounded(fractions(v).select("dataset_id", "sample_id", "cell_type", "fraction", "converged"), "fraction", digits=5))
+# The optimality conditions of every sample: all hold, and the fractions add up to one.
 queries.add(
-    "cell_fractions",
-    lambda v: rounded(W.cell_fractions(v.counts("nation").withColumnRenamed("count", "value"), N.cell_type_expression(v.cells(), v.cell_counts(), "author_label").select("gene_id", "cell_type", F.col("mean_expression").alias("weight")), "value", 200), "fraction", digits=5),
+    "cell_fraction_certificate",
+    lambda v: fractions(v).groupBy("dataset_id", "sample_id").agg(F.count(F.lit(1)).alias("cell_types"), F.count_if("converged").alias("conditions_held"), F.round(F.sum("fraction"), 6).alias("total")),
+    sql("cells counts_nation", "SELECT dataset_id, sample_id, k AS cell_types, k AS conditions_held, 1.0::double AS total FROM (SELECT DISTINCT dataset_id, sample_id FROM counts_nation), (SELECT count(DISTINCT author_label) AS k FROM cells)"),
 )
 queries.add(
     "survival_scan",
@@ -148,7 +157,19 @@ queries.add(
     "nearest_neighbours", lambda v: rounded(G.knn(vectors(v), 5), "distance"),
     """SELECT id, neighbor, round(d, 6) AS distance FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor, list_distance(a.embedding::double[], b.embedding::double[]) AS d FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, neighbor) <= 5""",
 )
-queries.add("cell_clusters", lambda v: G.cluster(G.knn(vectors(v), 10), 6))
+queries.add("cell_clusters", lambda v: G.cluster(G.knn(vectors(v), 10)))
+
+
+def settled(v: Views):
+    edges = reuse(G.knn(vectors(v), 10))
+    return G.cluster_quality(edges, G.cluster(edges)).select("edges", "unsettled")
+
+
+queries.add(
+    "cell_cluster_settled", settled,
+    """SELECT count(*) AS edges, 0::bigint AS unsettled FROM (SELECT DISTINCT least(id, neighbor), greatest(id, neighbor) FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+        QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.embedding::double[], b.embedding::double[]), b.vec_id) <= 10))""",
+)
 MARK = {
     "nm": "SELECT cell_id, gene_id, ln(1 + count::double / sum(count) OVER (PARTITION BY cell_id) * 10000) AS x FROM cell_counts",
     "jn": "SELECT gene_id, cell_id, x, author_label AS c, rank() OVER (PARTITION BY gene_id ORDER BY x) + (count(*) OVER (PARTITION BY gene_id, x) - 1) / 2 AS r FROM nm JOIN cells USING (cell_id)",

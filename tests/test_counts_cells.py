@@ -2,8 +2,10 @@
 
 import itertools
 import math
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,10 +135,31 @@ def test_neighbours_do_not_depend_on_blocks(spark):
 
 def test_clusters_of_two_cliques(spark):
     edges = [(a, b) for base in (0, 10) for a in range(base, base + 6) for b in range(base, base + 6) if a < b]
-    got = {r.id: r.cluster for r in cellgraph.cluster(spark.createDataFrame(edges, "id bigint, neighbor bigint"), 8).collect()}
+    got = {r.id: r.cluster for r in cellgraph.cluster(spark.createDataFrame(edges, "id bigint, neighbor bigint")).collect()}
     assert len({got[i] for i in range(6)}) == 1 and len(set(got.values())) == 2
 
 
+def test_clusters_settle(spark):
+    pairs = sorted({tuple(sorted((int(a), int(b)))) for a, b in np.random.default_rng(11).integers(0, 40, (90, 2))} | {(i, i + 1) for i in range(50, 70)})
+    edges = spark.createDataFrame(pairs, "id bigint, neighbor bigint")
+    labels = cellgraph.cluster(edges)
+    got = {r.id: r.cluster for r in labels.collect()}
+    near = {}
+    for a, b in pairs:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    assert set(got) == {i for p in pairs for i in p}
+    for node, others in near.items():
+        votes = Counter(got[o] for o in others)
+        assert max(votes.values()) <= votes.get(got[node], 0)
+    quality = cellgraph.cluster_quality(edges, labels).first()
+    inside = sum(got[a] == got[b] for a, b in pairs if a != b)
+    assert (quality.unsettled, quality.edges_within, quality.single_cluster) == (0, inside, False)
+    none = spark.createDataFrame([], "id bigint, neighbor bigint")
+    assert cellgraph.cluster(none).count() == 0 and cellgraph.cluster_quality(none, cellgraph.cluster(none)).first().single_cluster
+
+
 def test_components_of_a_long_chain(spark):
     nodes = spark.createDataFrame([("D", f"n{i:02d}") for i in range(30)], "dataset_id string, node string")
     edges = spark.createDataFrame([("D", f"n{i:02d}", f"n{i + 1:02d}") for i in range(29) if i != 14], "dataset_id string, a string, b string")
@@ -150,8 +173,31 @@ def test_cell_fractions_recover_a_mixture(spark):
     mix = signature @ truth
     sig = spark.createDataFrame([(f"g{i}", f"t{j}", float(signature[i, j])) for i in range(30) for j in range(3)], "gene_id string, cell_type string, weight double")
     expr = spark.createDataFrame([("D", "s", f"g{i}", float(mix[i])) for i in range(30)], "dataset_id string, sample_id string, gene_id string, value double")
-    got = {r.cell_type: r.fraction for r in network.cell_fractions(expr, sig, "value", 3000).collect()}
-    assert np.allclose([got[f"t{j}"] for j in range(3)], truth, atol=1e-2)
+    got = {r.cell_type: r.fraction for r in network.cell_fractions(expr, sig, "value").collect()}
+    assert np.allclose([got[f"t{j}"] for j in range(3)], truth, atol=1e-9)
+
+
+def test_weights_keep_the_optimality_conditions():
+    rng = np.random.default_rng(12)
+    for columns in (1, 3, 6):
+        for _ in range(40):
+            a, y = rng.normal(size=(20, columns)), rng.normal(size=20)
+            a[:, -1] = a[:, 0] if columns > 3 else a[:, -1]
+            x = network._active_set(a.T @ a, a.T @ y)
+            slope = a.T @ (a @ x - y)
+            assert (x >= 0).all() and (slope >= -1e-9).all() and np.abs(slope[x > 0]).max(initial=0) < 1e-9
+    assert (network._active_set(np.eye(2), np.array([-1.0, -2.0])) == 0).all()
+
+
+def test_survival_without_a_maximum_is_not_converged():
+    def fit(x, time, event):
+        return network._hazard(("D", "g"), pd.DataFrame({"x": x, "time": time, "event": event})).iloc[0]
+
+    apart = fit([3.0, 2.0, 1.0, 0.0], [1.0, 2.0, 3.0, 4.0], [1.0, 1.0, 1.0, 1.0])
+    assert not apart.converged
+    mixed = fit([1.0, 0.0, 1.0, 0.0, 2.0, 1.0], [1.0, 1.0, 2.0, 3.0, 3.0, 4.0], [1.0, 1.0, 1.0, 1.0, 0.0, 1.0])
+    assert mixed.converged and mixed.standard_error > 0
+    assert not fit([1.0, 2.0], [1.0, 2.0], [0.0, 0.0]).converged
 
 
 def test_survival_slope_zeroes_the_score(spark):
