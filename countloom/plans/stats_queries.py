@@ -162,12 +162,12 @@ queries.add("cell_clusters", lambda v: G.cluster(G.knn(vectors(v), 10)))
 
 def settled(v: Views):
     edges = reuse(G.knn(vectors(v), 10))
-    return G.cluster_quality(edges, G.cluster(edges)).select("edges", "unsettled")
+    return G.cluster_quality(edges, G.cluster(edges)).select("edges", "unsettled", "single_cluster")
 
 
 queries.add(
     "cell_cluster_settled", settled,
-    """SELECT count(*) AS edges, 0::bigint AS unsettled FROM (SELECT DISTINCT least(id, neighbor), greatest(id, neighbor) FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+    """SELECT count(*) AS edges, 0::bigint AS unsettled, false AS single_cluster FROM (SELECT DISTINCT least(id, neighbor), greatest(id, neighbor) FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
         QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.embedding::double[], b.embedding::double[]), b.vec_id) <= 10))""",
 )
 MARK = {

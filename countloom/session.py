@@ -54,6 +54,17 @@ def reuse(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a written table, with the size of its files for an estimate.
+
+    For loops: a checkpoint keeps the estimate of the plan that made it, and those of
+    joins multiply from turn to turn, until planning takes longer than the work.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

@@ -150,9 +150,14 @@ def test_clusters_settle(spark):
             near.setdefault(a, set()).add(b)
             near.setdefault(b, set()).add(a)
     assert set(got) == {i for p in pairs for i in p}
+    links, sums = sum(map(len, near.values())), Counter()
     for node, others in near.items():
-        votes = Counter(got[o] for o in others)
-        assert max(votes.values()) <= votes.get(got[node], 0)
+        sums[got[node]] += len(others)
+    for node, others in near.items():
+        votes, k = Counter(got[o] for o in others), len(others)
+        score = {c: links * votes[c] - k * (sums[c] - k * (c == got[node])) for c in {*votes, got[node]}}
+        assert max(score.values()) == score[got[node]]
+    assert len({got[i] for i in range(50, 71)}) > 1
     quality = cellgraph.cluster_quality(edges, labels).first()
     inside = sum(got[a] == got[b] for a, b in pairs if a != b)
     assert (quality.unsettled, quality.edges_within, quality.single_cluster) == (0, inside, False)
