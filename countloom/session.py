@@ -57,8 +57,8 @@ def reuse(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows as a written table, with the size of its files for an estimate.
 
-    For loops: a checkpoint keeps the estimate of the plan that made it, and those of
-    joins multiply from turn to turn, until planning takes longer than the work.
+    For loops: turns over checkpoints became slower and slower, as if the estimates
+    of the plans behind them multiplied; over written tables they stay alike.
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
