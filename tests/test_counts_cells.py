@@ -133,6 +133,20 @@ def test_neighbours_do_not_depend_on_blocks(spark):
         assert all(got[i] == set(np.argsort(gaps[i])[:3]) for i in range(60))
 
 
+def test_neighbours_of_asking_rows_with_many_ties(spark):
+    grid = RNG.integers(0, 3, (700, 3)).astype(float)
+    df = spark.createDataFrame([(f"n{i:04d}", [float(x) for x in p]) for i, p in enumerate(grid)], "id string, vector array<double>")
+    gaps = np.linalg.norm(grid[:, None] - grid[None], axis=2)
+    np.fill_diagonal(gaps, np.inf)
+    for blocks in (1, 3):
+        got = {}
+        for r in cellgraph.knn(df, 40, blocks=blocks, asking=F.col("id") < "n0100").collect():
+            got.setdefault(int(r.id[1:]), []).append((r.distance, int(r.neighbor[1:])))
+        assert set(got) == set(range(100))
+        for i, found in got.items():
+            assert sorted(found) == [(gaps[i, j], j) for j in np.lexsort((np.arange(700), gaps[i]))[:40]]
+
+
 def test_clusters_of_two_cliques(spark):
     edges = [(a, b) for base in (0, 10) for a in range(base, base + 6) for b in range(base, base + 6) if a < b]
     got = {r.id: r.cluster for r in cellgraph.cluster(spark.createDataFrame(edges, "id bigint, neighbor bigint")).collect()}
