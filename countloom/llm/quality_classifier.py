@@ -6,8 +6,8 @@ the pairs (no intercept, as only differences count).  The cut between good and
 bad is a quantile of the learned scores; the published score maps the latent one
 to 0..1 so that the cut falls on the threshold of the caller.
 
-Fitting uses a bounded sample of labelled rows (``max_rows``); scoring is a
-map-only expression over every whole text.
+Fitting uses every labelled row unless the caller bounds their number; scoring is
+a map-only expression over every whole text.
 """
 
 from __future__ import annotations
@@ -19,14 +19,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from countloom.llm.ship import ship
-from countloom.llm.store import stored
+from countloom.llm.store import running, stored
 from countloom.llm.textstats import CLASS_NAMES, COMMON, blanked, class_counts, found_words, line_counts, settled, share, words_of
+from countloom.operators.ranking import quantiles
 
-MAX_ROWS = 20_000
 ROUNDS = 6
 FEATURES = (
     *[f"f_{c}" for c in CLASS_NAMES],
@@ -152,17 +151,27 @@ def _whole_weights(good: int, good_kept: int, bad: int, bad_kept: int) -> tuple[
     return max(1, round(one / shrink)), max(1, round(two / shrink))
 
 
+def _bounded(known: DataFrame, max_rows: int) -> DataFrame:
+    """About ``max_rows`` labelled ids of each kind, those of the smallest md5."""
+    counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spot = F.conv(F.substring(F.md5(F.col("_id").cast("string")), 1, 8), 16, 10).cast("double") / float(2**32)
+    quota = F.lit(0.0)
+    for kind, n in counts.items():
+        quota = F.when(F.col("_label") == kind, min(1.0, max_rows / n)).otherwise(quota)
+    return known.where(spot < quota)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", text: str = "text",
-        threshold: float = 0.3, max_rows: int = MAX_ROWS, reg: float = 1e-4) -> Model:
-    """Learn from at most about ``max_rows`` labelled rows of each kind (a documented bound).
+        threshold: float = 0.3, max_rows: int | None = None, reg: float = 1e-4) -> Model:
+    """Learn from all labelled rows, or from at most about ``max_rows`` of each kind.
 
     The cut is that of all labelled rows: it uses their true share of bad ones and
-    weighs the sampled rows up to it, so the bound does not move it.
-    The sample keeps the rows with the smallest md5 of the id, so reruns agree.
+    weighs the rows of a bounded kind up to it, so the bound does not move it.
+    A bound keeps the rows with the smallest md5 of the id, so reruns agree.
     Rows without a label or id, and labels without a document, teach nothing;
     an id labelled both ways is left out.  Without labelled documents of both kinds
-    (an empty table among others) the model is constant: 1 if no bad one is known, else 0.  Only the sampled ids and labels are
-    broadcast; their number is bounded by ``max_rows``.
+    (an empty table among others) the model is constant: 1 if no bad one is known, else 0.
+    Seats are dealt over many tasks, and the quantiles are exact without one task that sorts.
     """
     ship(docs.sparkSession)
     known = (
@@ -172,33 +181,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
         .where(F.col("_low") == F.col("_high"))
         .select("_id", F.col("_low").alias("_label"))
     )
-    counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spot = F.conv(F.substring(F.md5(F.col("_id").cast("string")), 1, 8), 16, 10).cast("double") / float(2**32)
-    quota = F.lit(0.0)
-    for kind, n in counts.items():
-        quota = F.when(F.col("_label") == kind, min(1.0, max_rows / n)).otherwise(quota)
-    sample = known.where(spot < quota)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(sample), "_id")
+    learned = known if max_rows is None else _bounded(known, max_rows)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).join(learned, "_id")
     rows = features(rows.withColumnRenamed("_t", "text").withColumnRenamed("_id", "id").withColumnRenamed("_label", "label"))
-    rows = stored(rows.drop("text"), "labelled").withColumnRenamed("label", "_y")
-    # A seat per class; the sample is bounded, so one window over each class is too.
-    seat = F.row_number().over(W.partitionBy("_y").orderBy(F.md5(F.col("id").cast("string")), "id")) - 1
-    rows = stored(rows.withColumn("_seat", seat), "seats")
+    rows = stored(rows.drop("text"), "labelled")
+    rows = running(rows, [F.md5(F.col("id").cast("string")), F.col("id")], {"seat": F.lit(1)}, by=["label"])
+    rows = stored(rows.withColumnsRenamed({"seat_before": "_seat", "label": "_y"}), "seats")
     kept = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not kept.get(0) or not kept.get(1):
         # No pair can be formed: every text gets the score 1 if no bad row is known, else 0.
         return Model((0.0,) * len(FEATURES), 1.0 if kept.get(0) else -1.0, 1e3, threshold)
     weights = pair_weights(stored(preference_pairs(rows, "_y", kept[1], kept[0]), "pairs"), reg)
     scored = rows.select(latent(weights).alias("s"), "_y")
-    # The latent quantile at the share of bad rows among all labelled rows, each sampled row standing for as many as
-    # its kind was thinned by; sides are the medians of each kind.
-    every = docs.select(F.col(id_col).alias("_id")).join(known, "_id").groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
-    whole = {r["_label"]: r["n"] for r in every.collect()}
+    # The latent quantile at the share of bad rows among all labelled rows, each row of a bounded kind standing for as
+    # many as its kind was thinned by; sides are the medians of each kind.
+    whole = kept
+    if max_rows is not None:
+        every = docs.select(F.col(id_col).alias("_id")).join(known, "_id").groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
+        whole = {r["_label"]: r["n"] for r in every.collect()}
     bad = whole[0] / (whole[0] + whole[1])
     good_times, bad_times = _whole_weights(whole[1], kept[1], whole[0], kept[0])
     times = F.when(F.col("_y") == 1, F.lit(good_times)).otherwise(F.lit(bad_times)).cast("long")
-    cut = scored.withColumn("_times", times).agg(F.expr(f"percentile(s, {bad}D, _times)")).first()[0]
-    sides = {r["_y"]: r["m"] for r in scored.groupBy("_y").agg(F.expr("percentile(s, 0.5)").alias("m")).collect()}
+    cut = quantiles(scored.withColumn("_times", times), "s", [], {"cut": bad}, "_times").first()["cut"]
+    sides = {r["_y"]: r["m"] for r in quantiles(scored, "s", ["_y"], {"m": 0.5}).collect()}
     spread = max(1e-6, abs(sides[1] - sides[0]) / 2)
     return Model(weights, float(cut), 3.0 / spread, threshold)
 

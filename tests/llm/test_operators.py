@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from countloom.llm import bm25, bpe, hilbert, licenses, mixing, ngram_join, quality_classifier, quality_rules, token_counts, vocab
 from countloom.llm.host_reputation import filter_urls
@@ -250,6 +251,25 @@ def test_classifier_cut_keeps_the_share_of_all_labels(spark):
     assert abs(shares[0] - 0.1) < 0.01 and abs(shares[1] - 0.1) < 0.05
 
 
+def test_quality_classifier_learns_from_every_label(spark):
+    """More good rows than the bound of old (20,000 of a kind): one more labelled row is one more learned row."""
+    kinds = F.when(F.col("id") % 8 == 0, F.lit("# $ & | <a> 12 34")).otherwise(F.lit("the house and the garden of it"))
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.concat(kinds, F.lit(" w"), F.col("id") % 97).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 8 == 0, 0).otherwise(1).alias("quality"))
+    sizes = []
+
+    def counted(rows, label, good, bad):
+        sizes.append((good, bad, rows.select("_seat").distinct().count()))
+        return pairs(rows, label, good, bad)
+
+    pairs, quality_classifier.preference_pairs = quality_classifier.preference_pairs, counted
+    try:
+        quality_classifier.fit(docs, labels)
+    finally:
+        quality_classifier.preference_pairs = pairs
+    assert sizes == [(21_000, 3_000, 21_000)]
+
+
 def test_url_rules_and_reputation(spark):
     urls = ["HTTP://www.Example.com/en/1?x", "http://example.com/en/2", "http://a.net/fr/", "http://com", None, "no-url", "x://ok.org/a#b", "x://bad.org/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
