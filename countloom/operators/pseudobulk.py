@@ -154,16 +154,13 @@ def preparation_issues(cells: DataFrame, ontology: DataFrame) -> DataFrame:
     return subject.unionByName(label).unionByName(free)
 
 
-def contrast_tests(
-    counts: DataFrame, metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk"
-) -> tuple[DataFrame, DataFrame]:
-    """(effects, status) of every enabled contrast and cell type at once.
+def contrast_status(metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk") -> DataFrame:
+    """The status of ``contrast_tests`` alone: from the units, without any test."""
+    return _sides(metadata, contrasts, min_subjects, scope)[1]
 
-    A cell type is tested where both sides have the larger of ``min_subjects`` and the
-    contrast's own minimum of subjects, in the datasets at hand taken together;
-    ``status`` has one row per contrast and cell type with that minimum.  Each unit is
-    copied once for every contrast that names its group, and all tests share one pass.
-    """
+
+def _sides(metadata: DataFrame, contrasts: DataFrame, min_subjects: int, scope: str) -> tuple[DataFrame, DataFrame]:
+    """(eligible units once for every contrast that names their group, status per contrast and cell type)."""
     on = contrasts.where(is_true("enabled") & (F.col("data_scope") == scope)).select(
         "contrast_id", "numerator", "denominator",
         F.greatest(F.coalesce(F.col("min_replicates_per_group").try_cast("int"), F.lit(1)), F.lit(min_subjects)).alias("minimum"),
@@ -185,6 +182,21 @@ def contrast_tests(
         *keys, F.when(enough, F.lit("tested")).otherwise(F.lit("skipped_insufficient_subjects")).alias("status"),
         F.col("minimum").alias("minimum_subjects_per_group"), *seen,
     )
+    return sided, status
+
+
+def contrast_tests(
+    counts: DataFrame, metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk"
+) -> tuple[DataFrame, DataFrame]:
+    """(effects, status) of every enabled contrast and cell type at once.
+
+    A cell type is tested where both sides have the larger of ``min_subjects`` and the
+    contrast's own minimum of subjects, in the datasets at hand taken together;
+    ``status`` has one row per contrast and cell type with that minimum.  Each unit is
+    copied once for every contrast that names its group, and all tests share one pass.
+    """
+    sided, status = _sides(metadata, contrasts, min_subjects, scope)
+    keys = ["contrast_id", "cell_type"]
     tested = sided.join(status.where(F.col("status") == "tested").select(*keys), keys, "left_semi")
     unit = F.concat_ws("|", "dataset_id", "subject_id", "group", "cell_type")
     mean = tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean"))
@@ -195,4 +207,7 @@ def contrast_tests(
         (F.col("count") / F.col("total_UMI") * F.col("_mean")).alias("normalized"),
     )
     about = units.select(F.lit("all").alias("dataset_id"), F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), F.col("side").alias("group"))
-    return two_group_test(scaled, about, "up", "down", keys, normalized=True), status
+    factors = units.where(F.col("total_UMI") > 0).select(
+        *keys, F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), F.col("side").alias("group"), (F.col("total_UMI") / F.col("_mean")).alias("f")
+    )
+    return two_group_test(scaled, about, "up", "down", keys, normalized=True, factors=factors), status

@@ -26,12 +26,14 @@ FLOOR = 1e-8
 
 def two_group_test(
     counts: DataFrame, samples: DataFrame, numerator: str, denominator: str,
-    by: Sequence[str] = ("dataset_id",), min_total: int = 1, normalized: bool = False,
+    by: Sequence[str] = ("dataset_id",), min_total: int = 1, normalized: bool = False, factors: DataFrame | None = None,
 ) -> DataFrame:
     """Wald test per gene: baseMean, log2FoldChange, lfcSE, stat, pvalue, padj.
 
     Absent counts are zeros: sums come from the rows present, sizes from the
     samples.  ``by`` may hold further keys (a cell type) next to the dataset.
+    ``factors`` (by, sample_id, group, f) are the factors of normalized counts, where
+    the caller knows them: without it they are a pass over the counts.
     """
     by = list(by)
     about = samples.where(F.col("group").isin(numerator, denominator)).select(*SAMPLE, "group").distinct()
@@ -40,7 +42,7 @@ def two_group_test(
     if normalized or by != ["dataset_id"]:
         scaled = chosen if normalized else size_normalize(chosen)
         factor = F.col("count") / F.col("normalized")
-        per_sample = scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))
+        per_sample = factors if factors is not None else scaled.where(F.col("count") > 0).groupBy(*by, "sample_id", "group").agg(F.max(factor).alias("f"))
     else:
         factors = size_factors(chosen).drop("size_method")
         scaled = chosen.join(factors, SAMPLE).withColumn("normalized", F.col("count") / F.col("size_factor"))

@@ -142,7 +142,7 @@ SIDED = {
         LEFT JOIN (SELECT contrast_id, cell_type, count(DISTINCT dataset_id || '|' || subject_id) FILTER (WHERE up) AS n1, count(DISTINCT dataset_id || '|' || subject_id) FILTER (WHERE NOT up) AS n0 FROM sided GROUP BY ALL) USING (contrast_id, cell_type)""",
 }
 queries.add(
-    "pseudobulk_contrast_status", lambda v: P.contrast_tests(*bulk(v), small(v, CONTRASTS), 2)[1],
+    "pseudobulk_contrast_status", lambda v: P.contrast_status(bulk(v)[1], small(v, CONTRASTS), 2),
     sql("cells cell_counts", """SELECT contrast_id, cell_type, CASE WHEN n1 >= minimum AND n0 >= minimum THEN 'tested' ELSE 'skipped_insufficient_subjects' END AS status,
         minimum AS minimum_subjects_per_group, n1 AS numerator_subjects, n0 AS denominator_subjects FROM state""", **PB, **SIDED),
 )

@@ -149,3 +149,25 @@ def test_neighbours_of_equal_vectors_are_the_smallest_ids(spark):
     vectors = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], "id long, vector array<double>")
     near = knn(vectors, 5).where("id = 7").collect()
     assert sorted(r["neighbor"] for r in near) == [0, 1, 2, 3, 4]
+
+
+def test_unmapped_genes_alone_need_no_other_step(spark, monkeypatch):
+    from countloom.operators import integrate as N
+    from countloom.plans import integration_queries as Q
+    from countloom.plans.views import Views
+
+    views = Views(spark, "/root/testdata/sf0.001")
+    whole = Q.tables(views)["unmapped_genes"]
+    monkeypatch.setattr(N, "reuse", lambda df: pytest.fail("a step that unmapped genes do not need"))
+    alone = Q.tables(views, "unmapped_genes")
+    assert list(alone) == ["unmapped_genes"]
+    assert sorted(map(str, alone["unmapped_genes"].collect())) == sorted(map(str, whole.collect()))
+
+
+def test_contrast_status_runs_no_test(spark, monkeypatch):
+    from countloom.operators import pseudobulk
+    from countloom.plans import design_queries as Q
+
+    monkeypatch.setattr(pseudobulk, "two_group_test", lambda *args, **named: pytest.fail("the status needs units only"))
+    status = Q.queries.callables()["pseudobulk_contrast_status"](spark, "/root/testdata/sf0.001")
+    assert status.count() > 0
