@@ -120,7 +120,7 @@ queries.add(
 )
 queries.add(
     "supplementary_to_samples",
-    lambda v: J.join_supplementary(geo(v).select(F.col("gsm_accession").alias("gsm_id"), F.col("gse_accession").alias("gse_id"), F.length("title").alias("size")), v.t("pages").select(F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("GSM"), "page_id")).otherwise(F.lit("NA")).alias("gsm_id"), F.concat(F.lit("GSE_src"), F.col("page_id") % 25).alias("gse_id"), "url")).groupBy("gse_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") == "NA").alias("unmatched")),
+    lambda v: J.supplementary_counts(geo(v).select(F.col("gsm_accession").alias("gsm_id"), F.col("gse_accession").alias("gse_id"), F.length("title").alias("size")), v.t("pages").select(F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("GSM"), "page_id")).otherwise(F.lit("NA")).alias("gsm_id"), F.concat(F.lit("GSE_src"), F.col("page_id") % 25).alias("gse_id"), "url"), "size"),
     """SELECT gse_id, count(*) AS n, count(*) FILTER (WHERE s IS NULL) AS unmatched FROM (SELECT 'GSE_src' || (page_id % 25) AS gse_id, doc_id AS s FROM pages LEFT JOIN documents ON doc_id = page_id WHERE page_id % 2 = 0
         UNION ALL SELECT 'GSE_src' || (page_id % 25), doc_id FROM pages LEFT JOIN documents ON source = 'src' || (page_id % 25) WHERE page_id % 2 = 1) GROUP BY 1""",
 )

@@ -205,3 +205,13 @@ def test_faults_of_a_long_cell_table(spark, tmp_path):
     assert sorted((r.problem, r.cell_id) for r in matrices.cell_problems(spark, path).collect()) == [
         ("fractional_count", "c2"), ("missing_group", "c3"), ("missing_subject", "c2"), ("negative_count", "c3"), ("not_a_number", "c4"), ("several_identities", "c1")]
     assert sorted((r.cell_id, r["count"]) for r in matrices.read_cell_counts(spark, path).where("count IS NOT NULL").collect()) == [("c1", 3), ("c1", 4), ("c3", -3)]
+
+
+def test_supplementary_counts_are_those_of_the_rows(spark):
+    from countloom.operators import joins
+    from pyspark.sql import functions as F
+
+    samples = spark.createDataFrame([("g1", "a", "x"), ("g2", "a", None), ("g3", "b", "y"), (None, None, "z")], "gsm_id string, gse_id string, size string")
+    files = spark.createDataFrame([("g1", "a", "u"), ("g9", "a", "u"), ("NA", "a", "u"), (None, "a", "v"), ("NA", "c", "w"), ("NA", None, "w")], "gsm_id string, gse_id string, url string")
+    rows = joins.join_supplementary(samples, files).groupBy("gse_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") == "NA").alias("unmatched"))
+    assert sorted(map(str, joins.supplementary_counts(samples, files, "size").collect())) == sorted(map(str, rows.collect()))
