@@ -86,6 +86,14 @@ def test_bpe_and_counts_on_odd_rows(odd_docs):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in counts) == want
 
 
+def test_token_counts_do_not_depend_on_the_table(odd_docs, monkeypatch):
+    found, rows = token_counts.frequent, []
+    for size in (0, 5, token_counts.TABLE_SIZE):
+        monkeypatch.setattr(token_counts, "frequent", lambda *args, size=size: found(*args)[:size])
+        rows.append(Counter(token_counts.token_counts(odd_docs, P.path("byte_bpe_50k.json")).collect()))
+    assert rows[0] == rows[1] == rows[2] and sum(rows[0].values()) == 11
+
+
 @pytest.mark.parametrize("law", ["rows", "bytes"])
 def test_hilbert_shards(odd_docs, law):
     table = hilbert.curve_table(2, 3)
