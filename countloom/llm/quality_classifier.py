@@ -7,7 +7,8 @@ bad is a quantile of the learned scores; the published score maps the latent one
 to 0..1 so that the cut falls on the threshold of the caller.
 
 Fitting uses every labelled row unless the caller bounds their number; scoring is
-a map-only expression over every whole text.
+a map-only expression over every whole text.  Texts never cross a shuffle: their
+features are taken where they are read, and only those meet the labels.
 """
 
 from __future__ import annotations
@@ -85,11 +86,12 @@ def preference_pairs(rows: DataFrame, label: str, good: int, bad: int, rounds: i
     big, small = (1, 0) if good >= bad else (0, 1)
     m = min(good, bad)
     deals = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_k")
+    # Both sides grow with the labelled rows, so neither is sent whole to every executor.
     left = rows.where(F.col(label) == big).select("_seat", F.array(*FEATURES).alias("_a"), deals)
     left = left.withColumn("_other", F.pmod(F.col("_seat") + F.col("_k") * F.lit(max(1, m // rounds)), F.lit(m)))
     right = rows.where(F.col(label) == small).select(F.col("_seat").alias("_other"), F.array(*FEATURES).alias("_b"))
     toward = 1.0 if big == 1 else -1.0
-    return left.join(right, "_other").select(F.zip_with("_a", "_b", lambda x, y: (x - y) * toward).alias("_x"))
+    return left.join(right.hint("merge"), "_other").select(F.zip_with("_a", "_b", lambda x, y: (x - y) * toward).alias("_x"))
 
 
 def pair_weights(pairs: DataFrame, reg: float, tolerance: float = 1e-9) -> tuple[float, ...]:
@@ -161,10 +163,19 @@ def _bounded(known: DataFrame, max_rows: int) -> DataFrame:
     return known.where(spot < quota)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", text: str = "text",
+def described(docs: DataFrame, learned: DataFrame, id_col: str, text: str | None) -> DataFrame:
+    """(id, label, features) of the documents of ``learned`` (_id, _label); without ``text``, ``docs`` has the features."""
+    rows = docs if text is None else features(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")))
+    rows = rows.select(F.col("id" if text is not None else id_col).alias("id"), *FEATURES)
+    known = learned.select(F.col("_id").alias("id"), F.col("_label").alias("label"))
+    return rows.join(known.hint("merge"), "id")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", text: str | None = "text",
         threshold: float = 0.3, max_rows: int | None = None, reg: float = 1e-4) -> Model:
     """Learn from all labelled rows, or from at most about ``max_rows`` of each kind.
 
+    ``text=None`` says that ``docs`` holds the columns of ``features`` already.
     The cut is that of all labelled rows: it uses their true share of bad ones and
     weighs the rows of a bounded kind up to it, so the bound does not move it.
     A bound keeps the rows with the smallest md5 of the id, so reruns agree.
@@ -182,9 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
         .select("_id", F.col("_low").alias("_label"))
     )
     learned = known if max_rows is None else _bounded(known, max_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).join(learned, "_id")
-    rows = features(rows.withColumnRenamed("_t", "text").withColumnRenamed("_id", "id").withColumnRenamed("_label", "label"))
-    rows = stored(rows.drop("text"), "labelled")
+    rows = stored(described(docs, learned, id_col, text), "labelled")
     rows = running(rows, [F.md5(F.col("id").cast("string")), F.col("id")], {"seat": F.lit(1)}, by=["label"])
     rows = stored(rows.withColumnsRenamed({"seat_before": "_seat", "label": "_y"}), "seats")
     kept = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -208,17 +217,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
     return Model(weights, float(cut), 3.0 / spread, threshold)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str | None = "text") -> DataFrame:
     """Adds ``score`` (0 to 1; exactly ``threshold`` at the cut) and ``predicted`` to every row.
 
     Null and empty texts are scored like any other, from zero features.  Columns
-    of ``docs`` called score or predicted are replaced.
+    of ``docs`` called score or predicted are replaced.  ``text=None`` says that
+    ``docs`` holds the columns of ``features`` already; they are not returned.
     """
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = [c for c in docs.columns if c not in ("score", "predicted") and (text is not None or c not in FEATURES)]
     at = math.log(model.threshold / (1.0 - model.threshold))
     raw = (latent(model.weights) - F.lit(model.cut)) * F.lit(model.scale) + F.lit(at)
     bounded = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), raw))
-    df = features(docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)], F.col(text).alias("t_")), "t_")
+    columns = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)]
+    df = docs.select(*columns, *FEATURES) if text is None else features(docs.select(*columns, F.col(text).alias("t_")), "t_")
     value = F.round(1.0 / (1.0 + F.exp(-bounded)), 9)
     df = df.withColumn("score", value).withColumn("predicted", (F.col("score") >= model.threshold).cast("int"))
     df = settled(df.drop(*FEATURES), ("score", "predicted"))

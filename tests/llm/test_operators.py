@@ -259,6 +259,21 @@ def test_classifier_cut_keeps_the_share_of_all_labels(spark):
     assert abs(shares[0] - 0.1) < 0.01 and abs(shares[1] - 0.1) < 0.05
 
 
+def test_quality_classifier_moves_features_not_texts(spark):
+    rows = [(i, ("the cat and the dog of a house " if i % 3 else f"x{i} #$ zz@@ ") * (3 + i % 5)) for i in range(90)]
+    docs = spark.createDataFrame([*rows, (None, "the end"), (200, None)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, 0).otherwise(1).alias("quality"))
+    learned = labels.selectExpr("doc_id _id", "quality _label").where("_id is not null")
+    plan = quality_classifier.described(docs, learned, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("regexp")  # features are made below the join
+    made = quality_classifier.features(docs).drop("text")
+    one, two = quality_classifier.fit(docs, labels), quality_classifier.fit(made, labels, text=None)
+    assert np.allclose(one.weights, two.weights, atol=1e-6) and abs(one.cut - two.cut) < 1e-6
+    first = quality_classifier.score(docs, one).drop("text").collect()
+    again = quality_classifier.score(made, one, text=None)
+    assert again.columns == ["doc_id", "score", "predicted"] and sorted(map(str, again.collect())) == sorted(map(str, first))
+
+
 def test_quality_classifier_learns_from_every_label(spark):
     """More good rows than the bound of old (20,000 of a kind): one more labelled row is one more learned row."""
     kinds = F.when(F.col("id") % 8 == 0, F.lit("# $ & | <a> 12 34")).otherwise(F.lit("the house and the garden of it"))
