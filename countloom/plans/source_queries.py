@@ -101,7 +101,7 @@ queries.add(
 def triplets(v: Views):
     folder = scratch(v.spark, "mtx")
     entries = v.t("lineitem").select(F.concat_ws(" ", F.col("l_partkey") + 1, F.col("l_suppkey") + 1, F.col("l_quantity").cast("bigint")).alias("text"))
-    headed(entries.repartition(4), "%%MatrixMarket", "% note", "9 9 9").write.text(f"{folder}/m")
+    headed(entries, "%%MatrixMarket", "% note", "9 9 9").write.text(f"{folder}/m")
     # A name's place is its line; range-sorted parts of a list follow each other by file name.
     v.t("part").orderBy("p_partkey").select(F.concat(F.lit("G"), "p_partkey").alias("t")).write.text(f"{folder}/f")
     v.t("supplier").orderBy("s_suppkey").select(F.concat(F.lit("S"), "s_suppkey").alias("t")).write.text(f"{folder}/b")

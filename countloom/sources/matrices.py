@@ -136,7 +136,7 @@ def listed_names(spark: SparkSession, path: str, place: str, name: str) -> DataF
     sizes = lines.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))  # one row per file
     starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("_before"))
-    return lines.join(starts, "file").select((F.col("_before") + F.col("line")).alias(place), F.split("text", "\t")[0].alias(name))
+    return lines.join(F.broadcast(starts), "file").select((F.col("_before") + F.col("line")).alias(place), F.split("text", "\t")[0].alias(name))
 
 
 def mtx_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -146,9 +146,10 @@ def mtx_entries(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = numbered_lines(spark, path).where(~F.col("text").startswith("%") & (F.trim("text") != ""))
     cells = F.split(F.trim("text"), r"\s+")
+    # One row per file, sent to the lines: a file's lines never meet in one task.
     first = F.min_by(F.struct("line", F.get(cells, F.lit(2)).try_cast("bigint").alias("announced")), "line")
     sizes = lines.groupBy("file").agg(first.alias("_size"))
-    entries = lines.join(sizes, "file").where(F.col("line") > F.col("_size.line"))
+    entries = lines.join(F.broadcast(sizes), "file").where(F.col("line") > F.col("_size.line"))
     return entries.select(
         "file", "line", "text", F.get(cells, F.lit(0)).try_cast("bigint").alias("row"), F.get(cells, F.lit(1)).try_cast("bigint").alias("column"),
         to_number(F.get(cells, F.lit(2))).alias("count"), F.size(cells).alias("fields"), F.col("_size.announced").alias("announced"),
@@ -222,7 +223,7 @@ def normalize_feature_counts(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(spark, path).where(~F.col("text").startswith("#"))
     head = lines.groupBy("file").agg(F.min("line").alias("_head"))
     cells = F.split("text", "\t")
-    rows = lines.join(head, "file").where(F.col("line") > F.col("_head")).withColumn("_c", cells)
+    rows = lines.join(F.broadcast(head), "file").where(F.col("line") > F.col("_head")).withColumn("_c", cells)
     value = F.element_at("_c", -1)
     bad = F.when(F.size("_c") < 7, F.lit("fewer_than_seven_columns")).when(~value.rlike("^[0-9]+$"), F.lit("not_a_count"))
     return rows.select(F.col("_c")[0].alias("gene_id"), F.when(bad.isNull(), value).try_cast("bigint").alias("count"), bad.alias("problem"))

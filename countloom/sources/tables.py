@@ -26,7 +26,8 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = splits.select("file", "_block", "_first", before.alias("_before"))
-    return lines.join(starts, ["file", "_block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line"), "text")
+    # One row per split: the lines stay where they are read instead of meeting by split in one task.
+    return lines.join(F.broadcast(starts), ["file", "_block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line"), "text")
 
 
 def read_authority(spark: SparkSession, path: str, table: str) -> DataFrame:

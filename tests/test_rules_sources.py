@@ -215,3 +215,19 @@ def test_supplementary_counts_are_those_of_the_rows(spark):
     files = spark.createDataFrame([("g1", "a", "u"), ("g9", "a", "u"), ("NA", "a", "u"), (None, "a", "v"), ("NA", "c", "w"), ("NA", None, "w")], "gsm_id string, gse_id string, url string")
     rows = joins.join_supplementary(samples, files).groupBy("gse_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") == "NA").alias("unmatched"))
     assert sorted(map(str, joins.supplementary_counts(samples, files, "size").collect())) == sorted(map(str, rows.collect()))
+
+
+def test_lines_of_a_file_never_meet_in_one_task(spark, tmp_path):
+    (tmp_path / "m.mtx").write_text("%%MatrixMarket\n3 2 4\n1 1 5\n2 1 7\n3 2 x\n9 2 1\n")
+    (tmp_path / "f.txt").write_text("G1\nG2\nG3\n")
+    (tmp_path / "b.txt").write_text("S1\nS2\n")
+    paths = [str(tmp_path / n) for n in ("m.mtx", "f.txt", "b.txt")]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for lines in (matrices.mtx_entries(spark, paths[0]), matrices.listed_names(spark, paths[1], "row", "name"), matrices.normalize_feature_counts(spark, paths[0])):
+            assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+        rows = matrices.read_mtx(spark, *paths).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, (("S1", "G1", 5.0), ("S1", "G2", 7.0), ("S2", "G3", None), ("S2", None, 1.0))))
