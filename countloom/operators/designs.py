@@ -214,7 +214,8 @@ def fit_designs(rows: DataFrame, keys: Sequence[str], row: str = "row", values:
     width = lambda f: F.coalesce(F.try_element_at(F.col("_widths"), f), F.lit(0)).cast("bigint")
     product = lambda p: F.aggregate(p, F.lit(1).cast("bigint"), lambda n, f: n * width(f))
     plans = plans.withColumn("n_columns", F.aggregate(F.transform("_parts", product), F.lit(0).cast("bigint"), lambda a, b: a + b))
-    coded = good.select(*keys, "_row", "_values").join(plans.select(*keys, "_parts", "_bases", "_numbers"), keys)
+    # One row per design: the rows stay where they are instead of meeting by design in one task.
+    coded = good.select(*keys, "_row", "_values").join(F.broadcast(plans.select(*keys, "_parts", "_bases", "_numbers")), keys)
     coded = coded.select(*keys, "_row", "_values", "_bases", "_numbers", F.explode("_parts").alias("_part"))
     held = lambda f: F.try_element_at(F.col("_values"), variable_of(f))
     is_number = lambda f: F.array_contains("_numbers", f)

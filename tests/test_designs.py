@@ -128,3 +128,17 @@ def test_contrast_minimum_decides(spark):
     assert {r["contrast_id"] for r in effects.collect()} == {"C", "E"}
     one = pseudobulk.contrast_tests(counts, table, several.where("contrast_id = 'C'"), 3)[0].collect()
     assert [tuple(r) for r in one] == [tuple(r) for r in effects.where("contrast_id = 'C'").collect()]
+
+
+def test_rows_of_a_design_never_meet_in_one_task(spark):
+    from countloom.session import spread
+
+    assert spread(spark.range(25_000).coalesce(1), 10_000).rdd.getNumPartitions() == 3
+    rows = spark.range(8).select((F.col("id") % 2).cast("string").alias("analysis_id"), "id", F.create_map(F.lit("group"), (F.col("id") % 2).cast("string")).alias("values"), F.array(F.array(F.lit("group"))).alias("terms"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = designs.fit_designs(rows, ["analysis_id"], "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan  # rows and their design
