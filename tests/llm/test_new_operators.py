@@ -6,10 +6,11 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from countloom.llm import periodic, queries, toxicity, whitening
+from countloom.llm import bm25, periodic, queries, toxicity, whitening
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"
@@ -264,3 +265,24 @@ def test_license_query_without_id(spark, odd_docs, tmp_path):
     odd_docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     ids = [r["doc_id"] for r in queries.op4_license_scan(spark, str(tmp_path)).collect()]
     assert None in ids and {1, 2, 4, 5, 6, 7, 8, 9, 10} <= set(ids)
+
+
+def test_bm25_shards_return_only_rows_that_reach_the_floor():
+    """With the k-th score of other shards as a floor, a shard adds few rows, and the best stay the same."""
+    draw = random.Random(3)
+    texts = [" ".join(f"w{min(draw.randint(0, 400), draw.randint(0, 400))}" for _ in range(draw.randint(1, 60))) for _ in range(800)]
+    rows = pd.DataFrame({"id": range(800), "text": texts})
+    shards = [bm25.Shard(next(bm25.build_shard(rows[rows["id"] % 8 == i].assign(shard=i)).itertuples()), 30.0) for i in range(8)]
+    terms = [np.unique(bm25.term_hashes(t)) for t in texts[:40]]
+    idf = [1 + (t % 7) / 3.0 for t in terms]
+    asked = np.concatenate(terms), np.concatenate(idf), np.array([len(t) for t in terms])
+    found = [s.best(*asked, np.zeros(40), 5) for s in shards]
+    query, ids, scores = (np.concatenate(x) for x in zip(*found))
+    top = bm25.first_of_each(query, ids, scores, 5)
+    assert len(query) == 8 * 40 * 5 and (query[top] == np.repeat(np.arange(40), 5)).all()
+    floors = scores[top][4::5] - 1e-9
+    again = [s.best(*asked, floors, 5) for s in shards]
+    query, ids, scores = (np.concatenate(x) for x in zip(*again))
+    assert len(query) < 1.1 * 40 * 5
+    kept = bm25.first_of_each(query, ids, scores, 5)
+    assert (ids[kept] == np.concatenate([f[1] for f in found])[top]).all()
