@@ -208,6 +208,19 @@ def test_weights_keep_the_optimality_conditions():
     assert (network._active_set(np.eye(2), np.array([-1.0, -2.0])) == 0).all()
 
 
+def test_clusters_ask_for_their_edges_once(spark):
+    edges = spark.createDataFrame([(a, b) for a in range(6) for b in range(6) if a // 3 == b // 3], "id bigint, neighbor bigint")
+    seen = spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    assert len({r.cluster for r in cellgraph.cluster(edges.mapInPandas(tally, edges.schema)).collect()}) == 2
+    assert seen.value == edges.count()
+
+
 def test_survival_without_a_maximum_is_not_converged():
     def fit(x, time, event):
         return network._hazard(("D", "g"), pd.DataFrame({"x": x, "time": time, "event": event})).iloc[0]
