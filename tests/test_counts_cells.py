@@ -179,6 +179,19 @@ def test_clusters_settle(spark):
     assert cellgraph.cluster(none).count() == 0 and cellgraph.cluster_quality(none, cellgraph.cluster(none)).first().single_cluster
 
 
+def test_cluster_turns_send_no_table_to_the_driver(spark, monkeypatch):
+    plans, write = [], cellgraph.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(cellgraph, "written", seen)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(6)], "id bigint, neighbor bigint")
+    assert cellgraph.cluster(edges).count() == 7
+    assert len(plans) > 4 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_components_of_a_long_chain(spark):
     nodes = spark.createDataFrame([("D", f"n{i:02d}") for i in range(30)], "dataset_id string, node string")
     edges = spark.createDataFrame([("D", f"n{i:02d}", f"n{i + 1:02d}") for i in range(29) if i != 14], "dataset_id string, a string, b string")
