@@ -82,6 +82,26 @@ def test_pseudobulk_validation_has_no_candidate_condition(spark):
     assert meta.pseudobulk_meta(v, "random_effects", 0.05, 2).first().n_subjects == 10
 
 
+def test_no_family_is_one_task_of_leave_one_out(spark, monkeypatch):
+    plans, pooled = [], meta.meta
+
+    def seen(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return pooled(rows, *args)
+
+    monkeypatch.setattr(meta, "meta", seen)
+    rows = evidence(spark, ROWS)
+    rows = rows.selectExpr("*", "'C' AS contrast_id")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stable = meta.leave_one_out(rows, "fixed_effect", by=["contrast_id"])[0]
+        assert {r.gene_id for r in stable.collect()} == {"g1", "g2", "g4"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(plans) == 2 and not [p for p in plans if "SortMergeJoin" in p]
+
+
 def test_dominance_and_confounding(spark):
     rows = spark.createDataFrame([("A", "GSE1", "case", "case", "control")] * 9 + [("A", "GSE2", "control", "case", "control")], "analysis_id string, dataset_id string, group string, numerator string, denominator string")
     top = design.dominant_dataset(rows, 0.8, ["analysis_id"]).first()
