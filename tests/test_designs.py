@@ -117,6 +117,18 @@ def test_joint_pseudobulk_gates(spark):
             build(**changed)
 
 
+def test_joint_pseudobulk_sums_its_units_once(spark):
+    table = units(spark)
+    counts = table.select("dataset_id", "subject_id", "group", "cell_type", F.lit("G1").alias("gene_id"), F.lit(5).cast("bigint").alias("count"))
+    genes = spark.createDataFrame([("x", "G1"), ("y", "G1")], "dataset_id string, gene_id string")
+    sums = counts.groupBy("dataset_id", "subject_id", "group", "cell_type").agg(F.sum("count").alias("total_UMI"))
+    made = table.drop("total_UMI").join(sums, ["dataset_id", "subject_id", "group", "cell_type"])
+    about = studies.joint_pseudobulk(counts, made, genes, plan(spark), contrast(spark), "J", 2)[1]
+    assert about.count() == 12
+    # The units that the preflight and the result read are written, not summed from the counts again.
+    assert not [w for w in ("Join", "Aggregate") if w in about._jdf.queryExecution().executedPlan().toString()]
+
+
 def test_contrast_minimum_decides(spark):
     table = units(spark).unionByName(units(spark, (("x", "c", "b1"),)))
     counts = table.select("dataset_id", "subject_id", "group", "cell_type", F.lit("G1").alias("gene_id"), (F.length("subject_id") + 3).cast("bigint").alias("count"))
