@@ -132,6 +132,33 @@ def test_integration_limits_and_missing_types(spark):
     assert out["unmapped_genes"].count() == 2 and out["consensus_pathways"].count() == 1
 
 
+def test_integration_shuffles_genes_once_and_merges_ids(spark, monkeypatch):
+    writes, write = [], integrate.reuse
+
+    def seen(df):
+        writes.append(df.columns)
+        return write(df)
+
+    monkeypatch.setattr(integrate, "reuse", seen)
+    b = spark.createDataFrame([("A", "D1", 1.0, 0.001), ("B", "D2", -2.0, 0.0001), ("B", "D1", 0.5, 0.2)], "gene_id string, dataset_id string, log2FoldChange double, padj double")
+    bm = spark.createDataFrame([], "gene_id string, pooled_log2fc double, meta_padj double")
+    pb = spark.createDataFrame([("A", "D1", "T", 3.0, None), ("B", "D2", "T", -1.0, 0.01), ("B", "D3", "missing", 1.0, 0.001), ("Q", "D1", None, 1.0, 0.5)], "gene_id string, dataset_id string, cell_type string, log2FoldChange double, padj double")
+    pm = spark.createDataFrame([("A", "T", 1.0, 0.3), ("B", "T", 1.0, 0.2)], "gene_id string, cell_type string, pooled_log2fc double, meta_padj double")
+    avg = spark.createDataFrame([("A", "T", 4.0), ("B", "T", 1.0), ("B", None, 2.0)], "gene_id string, cell_type string, average_expression double")
+    frac = spark.createDataFrame([("B", "T", 0.5), ("A", "T", 0.25), ("B", None, 0.1), ("only", "T", 1.0)], "gene_id string, cell_type string, expression_cell_fraction double")
+    loo, val = (spark.createDataFrame([], f"gene_id string, {c} string") for c in ("dataset_driven", "replication_status"))
+    ont = spark.createDataFrame([("T", "confirmed"), ("NK", "confirmed")], "harmonized_level2 string, review_status string")
+    mapping = spark.createDataFrame([("A", "C", "SA"), ("B", "C", "SB")], "original_gene_id string, canonical_gene_id string, gene_symbol string")
+    out = integrate.integrate(b, bm, pb, pm, b.limit(0), avg, frac, loo, val, ont, mapping)
+    assert len(writes) <= 2
+    rows = {(r.canonical_gene_id, r.cell_type, r.average_expression): (r.pseudobulk_log2fc, r.expression_cell_fraction) for r in out["celltype_specific_effects"].collect()}
+    assert rows == {("C", "T", 4.0): (-1.0, 0.5), ("C", "T", 1.0): (-1.0, 0.5), ("C", None, 2.0): (None, None), ("C", "NK", None): (None, None),
+                    ("Q", "missing", None): (None, None), ("Q", "T", None): (None, None), ("Q", "NK", None): (None, None)}
+    both = {r.canonical_gene_id: r for r in out["consensus_genes"].collect()}
+    assert (both["C"].gene_symbol, both["C"].bulk_dataset_support, both["C"].pseudobulk_dataset_support, both["C"].pseudobulk_meta_padj) == ("SB", 2, 2, 0.2)
+    assert set(both) == {"C", "Q"} and both["C"].direction_consistency == "same"
+
+
 def test_compatibility_reasons(spark):
     cols = "dataset_id string, sample_id string, subject_id string, gsm_id string, srr_id string, include string, review_status string, data_type string, tissue string, library_layout string, matrix_path string, fastq_r1 string, fastq_r2 string, group string"
     rows = [(d, f"{d}{i}", f"{d}{i}", f"{d}{i}", f"{d}{i}", "true", "confirmed", "bulk", "liver", "PAIRED", f"{d}.tsv", "NA", "NA", g) for d in ("D1", "D2") for i, g in enumerate(("case", "control"))]
