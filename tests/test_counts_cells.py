@@ -289,3 +289,52 @@ def test_size_factors_without_a_complete_gene(spark):
     assert abs(got["a"]["size_factor"] - exp(a - (a + b) / 2)) < 1e-9 and got["a"]["size_method"] == "positive"
     assert got["c"]["size_factor"] is None and got["c"]["size_method"] == "not_estimable"
     assert counts.size_normalize(table).count() == 5
+
+
+def test_neighbours_are_exact_over_batches_and_lanes(spark):
+    """Ties over batches, ids that ask twice, a row with no number, and no shuffle of candidates."""
+    points = RNG.integers(0, 4, (150, 3)).astype(float)
+    rows = [(f"f{i % 2}", f"n{i:03d}", points[i].tolist()) for i in range(150)] + [("f0", "n000", [9.0, 9.0, 9.0]), ("f1", "nan", [float("nan"), 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "family string, id string, vector array<double>")
+    want = {}
+    for family, name in {(f, i) for f, i, _ in rows}:
+        found = [(math.dist(a, b), other) for f, i, a in rows if (f, i) == (family, name) for g, other, b in rows if g == family and other != name]
+        want[family, name] = [(n, round(d, 9)) for d, n in sorted(x for x in found if x[0] == x[0])[:4]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        for lanes in (None, 3):
+            near = cellgraph.knn(df, 4, ["family"], lanes)
+            plan = near._jdf.queryExecution().executedPlan().toString()
+            assert "Window" not in plan and plan.count("Exchange") == 1
+            got = {}
+            for r in near.collect():
+                got.setdefault((r.family, r.id), []).append((r.distance, r.neighbor))
+            assert {key: [(n, round(d, 9)) for d, n in sorted(v)] for key, v in got.items()} == {k: v for k, v in want.items() if v}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_neighbours_of_many_rows_are_counted_without_the_row_itself():
+    """The bound of the smallest of each group leaves room for the asking row."""
+    points = RNG.normal(size=(1500, 4))
+    table = pd.DataFrame({"id": np.arange(1500), "vector": list(points)})
+    gaps = np.linalg.norm(points[:, None] - points[None], axis=2)
+    np.fill_diagonal(gaps, np.inf)
+    for cuts in ([0, 1500], [0, 1100, 1500]):
+        state = cellgraph._Nearest(table, 5)
+        for first, last in zip(cuts, cuts[1:]):
+            state.meet(table[first:last])
+        found = pd.concat(state.result())
+        assert (found["neighbor"].to_numpy().reshape(1500, 5) == np.argsort(gaps, axis=1)[:, :5]).all()
+
+
+def test_doublet_profiles_are_the_sums_of_partners():
+    """Genes of both partners are added before the logarithm; a cell without counts still has a partner; sums do not hang on cuts."""
+    rows = [("s", 1, "a", "b", "g1", 2.0, 0, 1.0), ("s", 1, "b", "c", "g1", 3.0, 0, 1.0), ("s", 1, "b", "c", "g2", 5.0, 1, -1.0), ("s", 1, "c", "a", None, None, None, None), ("s", 2, "d", "d", "g2", 4.0, 1, -1.0)]
+    table = pd.DataFrame(rows, columns=["sample_id", "_bucket", "cell_id", "_next", "gene_id", "count", "_slot", "_sign"])
+    want = {"a": [2, 0], "b": [3, 5], "d": [0, 4], "sim:a": [5, 5], "sim:b": [3, 5], "sim:c": [2, 0]}
+    for cut in (1, 2, 5):
+        made = pd.concat(cellgraph._profiles(iter([table[i: i + cut] for i in range(0, 5, cut)]), 2)).set_index("id")
+        assert set(made.index) == set(want) and set(made["sample_id"]) == {"s"}
+        for name, (x, y) in want.items():
+            assert np.allclose(made.loc[name, "vector"], [math.log1p(x / (x + y) * 1e4), -math.log1p(y / (x + y) * 1e4)])
