@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countloom.functions.missing import bool_text, is_missing, is_true
 from countloom.functions.text import joined_or, kept
 from countloom.operators.testing import two_group_test
-from countloom.session import reuse
+from countloom.session import written
 
 COVARIATES = ("condition", "tissue", "batch", "sex", "age", "timepoint", "treatment", "paired_group")
 UNIT = ["dataset_id", "subject_id", "group", "cell_type"]
@@ -25,17 +25,19 @@ def with_cell_type(cells: DataFrame) -> DataFrame:
 
 def pseudobulk(
     cells: DataFrame, cell_counts: DataFrame, min_cells: int = 1, min_total_counts: int = 0,
-    min_detected_genes: int = 0, extra_strata: Sequence[str] = (),
+    min_detected_genes: int = 0, extra_strata: Sequence[str] = (), keep: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(counts per unit and gene, metadata per unit).
 
     The unit key is the columns themselves; a rendered id never joins anything,
-    so units of different datasets cannot collide.
+    so units of different datasets cannot collide.  ``keep`` writes the sums of the
+    units, for callers that read both tables: they are then made once.
     """
     rows = with_cell_type(cells)
     rows = rows.where("qc_retained") if "qc_retained" in rows.columns else rows
     unit = [*UNIT, *extra_strata]
     counts = cell_counts.join(rows.select("cell_id", *unit), "cell_id").groupBy(*unit, "gene_id").agg(F.sum("count").alias("count"))
+    counts = written(counts, "units") if keep else counts
     sums = counts.groupBy(*unit).agg(F.sum("count").alias("total_UMI"), F.count_if(F.col("count") > 0).alias("detected_genes"))
     known = [c for c in COVARIATES if c in rows.columns and c not in unit]
     # Distinct values per unit are counted after a first collapse, so a hot unit is merged map-side.
@@ -116,26 +118,35 @@ def pseudobulk_test(
     counts: DataFrame, metadata: DataFrame, numerator: str, denominator: str, min_subjects: int = 2
 ) -> tuple[DataFrame, DataFrame]:
     """(effects per dataset, cell type and gene; skipped cell types with the reason)."""
-    good = eligible(reuse(metadata)).where(F.col("group").isin(numerator, denominator))
     keys = ["dataset_id", "cell_type"]
-    sides = subjects_per_group(good, numerator, denominator, keys)
-    enough = (F.col("numerator_subjects") >= min_subjects) & (F.col("denominator_subjects") >= min_subjects)
-    unit = F.concat_ws("|", "dataset_id", "subject_id", "group", "cell_type")
-    tested = good.join(sides.where(enough).select(*keys), keys, "left_semi").withColumn("_unit", unit)
-    rows = counts.join(tested.select(*UNIT, "_unit"), UNIT)
+    good = written(_sided_units(metadata, numerator, denominator), "eligible")
+    sides, enough = _enough(good, numerator, denominator, min_subjects)
+    tested = good.join(sides.where(enough).select(*keys), keys, "left_semi")
     # Library scaling: sparse units rarely share a gene without zeros.
-    totals = tested.select("_unit", F.col("total_UMI").alias("_total"))
-    mean = tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean"))
-    scaled = rows.join(totals, "_unit").join(mean, keys).select(
-        *keys, F.col("_unit").alias("sample_id"), "gene_id", "count",
-        (F.col("count") / F.col("_total") * F.col("_mean")).alias("normalized"),
-    )
-    samples = tested.select("dataset_id", F.col("_unit").alias("sample_id"), "group")
-    effects = two_group_test(scaled, samples, numerator, denominator, keys, normalized=True)
-    skipped = sides.where(~enough).select(
-        *keys, "numerator_subjects", "denominator_subjects", F.lit("insufficient_subjects_per_group").alias("reason")
+    units = tested.join(tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean")), keys)
+    scaled = _scaled(counts.join(units, UNIT), keys, "group")
+    effects = two_group_test(scaled, None, numerator, denominator, keys, normalized=True, factors=_factors(units, keys, "group"))
+    return effects, _skipped(sides, enough)
+
+
+def skipped_types(metadata: DataFrame, numerator: str, denominator: str, min_subjects: int = 2) -> DataFrame:
+    """The skipped cell types of ``pseudobulk_test`` alone: from the units, without any test."""
+    return _skipped(*_enough(_sided_units(metadata, numerator, denominator), numerator, denominator, min_subjects))
+
+
+def _sided_units(metadata: DataFrame, numerator: str, denominator: str) -> DataFrame:
+    return eligible(metadata).where(F.col("group").isin(numerator, denominator)).select(*UNIT, "total_UMI")
+
+
+def _enough(good: DataFrame, numerator: str, denominator: str, min_subjects: int) -> tuple[DataFrame, Column]:
+    sides = subjects_per_group(good, numerator, denominator, ["dataset_id", "cell_type"])
+    return sides, (F.col("numerator_subjects") >= min_subjects) & (F.col("denominator_subjects") >= min_subjects)
+
+
+def _skipped(sides: DataFrame, enough: Column) -> DataFrame:
+    return sides.where(~enough).select(
+        "dataset_id", "cell_type", "numerator_subjects", "denominator_subjects", F.lit("insufficient_subjects_per_group").alias("reason")
     )
-    return effects, skipped
 
 
 def preparation_issues(cells: DataFrame, ontology: DataFrame) -> DataFrame:
@@ -169,7 +180,7 @@ def _sides(metadata: DataFrame, contrasts: DataFrame, min_subjects: int, scope:
     sided = good.join(on, F.col("group").isin(F.col("numerator"), F.col("denominator"))).withColumn(
         "side", F.when(F.col("group") == F.col("numerator"), F.lit("up")).otherwise(F.lit("down"))
     )
-    sided = reuse(sided)
+    sided = written(sided, "sided")
     keys = ["contrast_id", "cell_type"]
     of = lambda side: F.count_distinct(F.when(F.col("side") == side, F.concat_ws("|", "dataset_id", "subject_id")))
     sides = sided.groupBy(*keys, "minimum").agg(of("up").alias("numerator_subjects"), of("down").alias("denominator_subjects"))
@@ -186,7 +197,8 @@ def _sides(metadata: DataFrame, contrasts: DataFrame, min_subjects: int, scope:
 
 
 def contrast_tests(
-    counts: DataFrame, metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk"
+    counts: DataFrame, metadata: DataFrame, contrasts: DataFrame, min_subjects: int = 2, scope: str = "scrna_pseudobulk",
+    adjust: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(effects, status) of every enabled contrast and cell type at once.
 
@@ -198,16 +210,22 @@ def contrast_tests(
     sided, status = _sides(metadata, contrasts, min_subjects, scope)
     keys = ["contrast_id", "cell_type"]
     tested = sided.join(status.where(F.col("status") == "tested").select(*keys), keys, "left_semi")
-    unit = F.concat_ws("|", "dataset_id", "subject_id", "group", "cell_type")
-    mean = tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean"))
-    units = tested.join(mean, keys).select(*keys, *[c for c in UNIT if c != "cell_type"], unit.alias("sample_id"), "side", "total_UMI", "_mean")
-    rows = counts.select(*UNIT, "gene_id", "count").join(units, UNIT)
-    scaled = rows.select(
-        *keys, F.lit("all").alias("dataset_id"), F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), "gene_id", "count",
-        (F.col("count") / F.col("total_UMI") * F.col("_mean")).alias("normalized"),
-    )
-    about = units.select(F.lit("all").alias("dataset_id"), F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), F.col("side").alias("group"))
-    factors = units.where(F.col("total_UMI") > 0).select(
-        *keys, F.concat_ws("|", "contrast_id", "sample_id").alias("sample_id"), F.col("side").alias("group"), (F.col("total_UMI") / F.col("_mean")).alias("f")
-    )
-    return two_group_test(scaled, about, "up", "down", keys, normalized=True, factors=factors), status
+    units = tested.join(tested.groupBy(*keys).agg(F.avg("total_UMI").alias("_mean")), keys)
+    scaled = _scaled(counts.select(*UNIT, "gene_id", "count").join(units, UNIT), keys, "side")
+    return two_group_test(scaled, None, "up", "down", keys, normalized=True, factors=_factors(units, keys, "side"), adjust=adjust), status
+
+
+def _scaled(rows: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """Counts of units scaled to the mean total of their test, and the side they stand on.
+
+    Rows are sent to their genes as whole numbers: sums and squares of scaled counts
+    would be three times as wide.
+    """
+    rows = rows.select(*keys, F.col(side).alias("group"), "gene_id", "count", "total_UMI", "_mean").repartition(*keys, "gene_id")
+    return rows.select(*keys, "group", "gene_id", "count", (F.col("count") / F.col("total_UMI") * F.col("_mean")).alias("normalized"))
+
+
+def _factors(units: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """One factor per unit with counts; a unit without dataset or subject meets no counts."""
+    there = (F.col("total_UMI") > 0) & F.col("dataset_id").isNotNull() & F.col("subject_id").isNotNull()
+    return units.where(there).select(*keys, F.col(side).alias("group"), (F.col("total_UMI") / F.col("_mean")).alias("f"))

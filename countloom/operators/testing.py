@@ -25,19 +25,23 @@ FLOOR = 1e-8
 
 
 def two_group_test(
-    counts: DataFrame, samples: DataFrame, numerator: str, denominator: str,
-    by: Sequence[str] = ("dataset_id",), min_total: int = 1, normalized: bool = False, factors: DataFrame | None = None,
+    counts: DataFrame, samples: DataFrame | None, numerator: str, denominator: str,
+    by: Sequence[str] = ("dataset_id",), min_total: int = 1, normalized: bool = False, factors: DataFrame | None = None, adjust: bool = True,
 ) -> DataFrame:
     """Wald test per gene: baseMean, log2FoldChange, lfcSE, stat, pvalue, padj.
 
     Absent counts are zeros: sums come from the rows present, sizes from the
     samples.  ``by`` may hold further keys (a cell type) next to the dataset.
     ``factors`` (by, sample_id, group, f) are the factors of normalized counts, where
-    the caller knows them: without it they are a pass over the counts.
+    the caller knows them: without it they are a pass over the counts.  Counts that
+    carry their ``group`` are not joined with the samples.  ``adjust`` adds padj.
     """
     by = list(by)
-    about = samples.where(F.col("group").isin(numerator, denominator)).select(*SAMPLE, "group").distinct()
-    chosen = counts.join(about, SAMPLE)
+    if "group" in counts.columns:
+        chosen = counts.where(F.col("group").isin(numerator, denominator))
+    else:
+        about = samples.where(F.col("group").isin(numerator, denominator)).select(*SAMPLE, "group").distinct()
+        chosen = counts.join(about, SAMPLE)
     # Size of each side and its mean inverse factor, from the samples present.
     if normalized or by != ["dataset_id"]:
         scaled = chosen if normalized else size_normalize(chosen)
@@ -78,7 +82,7 @@ def two_group_test(
         *by, "gene_id", "baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue",
         (F.col("n1") + F.col("n0")).alias("sample_size"),
     )
-    return bh_adjust(tested, "pvalue", by)
+    return bh_adjust(tested, "pvalue", by) if adjust else tested
 
 
 def contrast_test(

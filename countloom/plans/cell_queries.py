@@ -180,8 +180,8 @@ PB = {
 }
 
 
-def bulk(v: Views):
-    return P.pseudobulk(v.cells(), v.cell_counts(), 2, 100, 3)
+def bulk(v: Views, keep: bool = False):
+    return P.pseudobulk(v.cells(), v.cell_counts(), 2, 100, 3, keep=keep)
 
 
 queries.add(
@@ -222,11 +222,11 @@ queries.add(
 EFFECT = ["baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue", "padj"]
 queries.add(
     "pseudobulk_test",
-    lambda v: rounded(P.pseudobulk_test(*P.pseudobulk(v.cells(), v.cell_counts()), "case", "control", 2)[0], *EFFECT),
+    lambda v: rounded(P.pseudobulk_test(*P.pseudobulk(v.cells(), v.cell_counts(), keep=True), "case", "control", 2)[0], *EFFECT),
 )
 queries.add(
     "pseudobulk_skipped",
-    lambda v: P.pseudobulk_test(*bulk(v), "case", "control", 20)[1],
+    lambda v: P.skipped_types(bulk(v)[1], "case", "control", 20),
     sql("cells cell_counts", """SELECT dataset_id, cell_type, n1 AS numerator_subjects, n0 AS denominator_subjects, 'insufficient_subjects_per_group' AS reason FROM (SELECT dataset_id, cell_type, count(DISTINCT subject_id) FILTER (WHERE "group" = 'case') AS n1, count(DISTINCT subject_id) FILTER (WHERE "group" = 'control') AS n0
         FROM pbm WHERE r = '' AND "group" IN ('case', 'control') GROUP BY ALL) WHERE n1 < 20 OR n0 < 20""", **PB),
 )

@@ -349,3 +349,23 @@ def test_doublet_status_reads_no_counts(spark, monkeypatch):
 
     monkeypatch.setattr(Views, "cell_counts", refused)
     assert all_queries().callables()["doublet_status"](spark, "/root/testdata/sf0.001").count() == 25
+
+
+def tallied(df, seen):
+    def tally(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(tally, df.schema)
+
+
+def test_pseudobulk_test_reads_its_counts_once(spark):
+    """Units, factors and the test come from sums that are made once; a unit without counts has no factor."""
+    rows = [(f"c{i}", "D", f"s{i % 6}", f"p{i % 6}", "case" if i % 2 else "control", "T", "L") for i in range(30)] + [("c30", "D", "s6", None, "case", "T", "L"), ("c31", "D", "s7", "p7", "case", "T", "L")]
+    c = spark.createDataFrame(rows, "cell_id string, dataset_id string, sample_id string, subject_id string, group string, cell_type string, author_label string")
+    k = spark.createDataFrame([(f"c{i}", f"g{j}", int(RNG.integers(1, 9))) for i in range(31) for j in range(4)], "cell_id string, gene_id string, count bigint")
+    seen = spark.sparkContext.accumulator(0)
+    effects, skipped = pseudobulk.pseudobulk_test(*pseudobulk.pseudobulk(c, tallied(k, seen), keep=True), "case", "control")
+    assert [r.sample_size for r in effects.collect()] == [6] * 4
+    assert skipped.count() == 0 and seen.value == k.count()
