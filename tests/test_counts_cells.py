@@ -369,3 +369,15 @@ def test_pseudobulk_test_reads_its_counts_once(spark):
     effects, skipped = pseudobulk.pseudobulk_test(*pseudobulk.pseudobulk(c, tallied(k, seen), keep=True), "case", "control")
     assert [r.sample_size for r in effects.collect()] == [6] * 4
     assert skipped.count() == 0 and seen.value == k.count()
+
+
+def test_contrast_effects_read_their_counts_once(spark):
+    """Without adjusted p-values nothing is written for them; a unit without a subject meets no counts and is no sample."""
+    rows = [(f"c{i}", "D", f"s{i % 6}", f"p{i % 6}", "case" if i % 2 else "control", "T", "L") for i in range(30)] + [("c30", "D", "s6", None, "case", "T", "L")]
+    c = spark.createDataFrame(rows, "cell_id string, dataset_id string, sample_id string, subject_id string, group string, cell_type string, author_label string")
+    k = spark.createDataFrame([(f"c{i}", f"g{j}", int(RNG.integers(1, 9))) for i in range(31) for j in range(4)], "cell_id string, gene_id string, count bigint")
+    contrasts = spark.createDataFrame([("C", "case", "control", "scrna_pseudobulk", "2", "true")], "contrast_id string, numerator string, denominator string, data_scope string, min_replicates_per_group string, enabled string")
+    seen = spark.sparkContext.accumulator(0)
+    effects, status = pseudobulk.contrast_tests(*pseudobulk.pseudobulk(c, tallied(k, seen), keep=True), contrasts, adjust=False)
+    assert [r.sample_size for r in effects.collect()] == [6] * 4 and "padj" not in effects.columns
+    assert [r.status for r in status.collect()] == ["tested"] and seen.value == k.count()
