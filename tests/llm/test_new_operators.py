@@ -286,3 +286,41 @@ def test_bm25_shards_return_only_rows_that_reach_the_floor():
     assert len(query) < 1.1 * 40 * 5
     kept = bm25.first_of_each(query, ids, scores, 5)
     assert (ids[kept] == np.concatenate([f[1] for f in found])[top]).all()
+
+
+def test_bm25_shares_look_ups_and_keeps_scores_that_single_precision_cannot_tell_apart():
+    """Terms of all queries are looked up once; sums in single precision only rule rows out, so nearly equal rows keep their order."""
+    rng = np.random.default_rng(3)
+    words = [[f"{lang}{i}" for i in range(60)] for lang in "ab"]
+    texts = [" ".join(rng.choice(words[i % 2], rng.integers(1, 40))) for i in range(300)]
+    # Long rows that differ in their length by one word of thousands.
+    texts += ["a1 a2 a3 " + "z " * (20_000 + i) for i in range(30)]
+    rows = pd.DataFrame({"id": range(330), "text": texts, "shard": 0})
+    shard = bm25.Shard(next(bm25.build_shard(rows).itertuples()), 30.0)
+    asked = [np.unique(bm25.term_hashes(t)) for t in [*texts[:60], "a1 a2 a3", "nowhere", ""]]
+    terms, sizes = np.concatenate(asked), np.array([len(t) for t in asked])
+    idf = 1.0 + (terms % 97).astype(float) / 97
+    counts = [dict(zip(*np.unique(bm25.term_hashes(t), return_counts=True))) for t in texts]
+    starts = np.cumsum(sizes) - sizes
+    for k in (3, 40):
+        want = []
+        for q, (start, size) in enumerate(zip(starts, sizes)):
+            scores = []
+            for i, have in enumerate(counts):
+                norm = bm25.K1 * (1 - bm25.B + bm25.B * sum(have.values()) / 30.0)
+                score = sum(idf[j] * have[terms[j]] * (bm25.K1 + 1) / (have[terms[j]] + norm) for j in range(start, start + size) if terms[j] in have)
+                if score > 0:
+                    scores.append((-round(score, 9), i))
+            want += [(q, i) for _, i in sorted(scores)[:k]]
+        distinct = np.unique(terms, return_inverse=True)
+        query, ids, scores = shard.best(terms, idf, sizes, np.zeros(len(sizes)), k, distinct)
+        at = bm25.first_of_each(query, ids, scores, k)
+        assert list(zip(query[at], ids[at])) == want
+        # With the k-th scores as floors the same rows come back.
+        floors = np.zeros(len(sizes))
+        for q in range(len(sizes)):
+            if (query == q).sum() == k:
+                floors[q] = scores[query == q].min() - 1e-9
+        again = shard.best(terms, idf, sizes, floors, k)
+        at = bm25.first_of_each(*again, k)
+        assert list(zip(again[0][at], again[1][at])) == want
